@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reconciliation is a monthly batch rebuild: every stage reads complete
+monthly snapshots (payments, locations, roster) and several stages compare
+a row against the whole month (counts per store, per merchant and per
+location, NOT IN over earlier levels).  There is no stream, watermark or
+per-key state in the pipeline being reproduced, so this package is
+intentionally empty; a monthly run is a batch job over the month's files.
+"""
