@@ -1,0 +1,109 @@
+"""Hand-written cases for the semantic traps, with expected rows written out."""
+
+import decimal
+
+from pyspark.sql import functions as F
+
+from acctrecon import Reconciliation
+from acctrecon.functions import share
+from acctrecon.operators.combine import merged_mappings
+from acctrecon.operators.roster import backfill_prior_period
+from acctrecon.operators.setops import in_set, not_in
+from acctrecon.schemas import ROSTER, Status
+from tests.helpers import PREV, REPORT, frames
+
+
+def _vals(df, col="v"):
+    return sorted((r[col] for r in df.collect()), key=lambda x: (x is None, x))
+
+
+def test_not_in_follows_sql_null_rule(spark):
+    probe = spark.createDataFrame([("a",), ("b",), (None,)], "v string")
+    keys = spark.createDataFrame([("a",)], "k string")
+    with_null = spark.createDataFrame([("a",), (None,)], "k string")
+    empty = spark.createDataFrame([], "k string")
+    assert _vals(not_in(probe, ["v"], keys, ["k"])) == ["b"]          # NULL probe dropped
+    assert _vals(not_in(probe, ["v"], with_null, ["k"])) == []         # NULL in set
+    assert _vals(not_in(probe, ["v"], empty, ["k"])) == ["a", "b", None]  # empty set
+    assert _vals(in_set(probe, ["v"], with_null, ["k"])) == ["a"]
+
+
+def test_not_in_composite_key_null_part(spark):
+    probe = spark.createDataFrame([(1, 1), (1, None), (None, 2), (2, 2)], "s int, l int")
+    keys = spark.createDataFrame([(1, 0)], "s int, l int")
+    key = [F.col("s"), F.coalesce(F.col("l"), F.lit(0))]
+    got = sorted(tuple(r) for r in not_in(probe, key, keys, ["s", "l"]).collect())
+    assert got == [(1, 1), (2, 2)]       # (1, NULL) matches 1|0; NULL studio dropped
+
+
+def test_share_is_exact_half_up(spark):
+    df = spark.createDataFrame(
+        [(decimal.Decimal("1.0000"), 3), (decimal.Decimal("1.0000"), 6),
+         (decimal.Decimal("-1.0000"), 6), (decimal.Decimal("723635.3100"), 2)],
+        "v decimal(18,4), n bigint")
+    got = [r[0] for r in df.select(share("v", "n")).collect()]
+    assert [str(x) for x in got] == ["0.3333333333", "0.1666666667", "-0.1666666667",
+                                     "361817.6550000000"]
+
+
+def test_backfill_is_per_column(spark):
+    r = spark.createDataFrame([
+        (1, PREV, 10, 1, None, None),
+        (1, REPORT, None, 2, None, None),      # studio from May, location from June
+        (2, REPORT, None, None, None, None),   # no May row: stays NULL
+    ], ROSTER)
+    got = sorted(tuple(x) for x in backfill_prior_period(r).where("as_of = date'1998-06-01'")
+                 .select("client_id", "studioid", "locationid").collect())
+    assert got == [(1, 10, 2), (2, None, None)]
+
+
+def _classify_inputs(spark):
+    payments = [
+        ("199806", "one", "M1", "A", "CAD", 10, 1, 1, 1),
+        ("199806", "two", "M2", "A", "CAD", 10, 1, 1, 1),
+        ("199806", "two", "M2", "A", "EUR", 20, 1, 1, 1),    # 2 rows x 1 location -> 5 (T2)
+        ("199806", "none", "M3", "A", "CAD", 5, 1, 1, 1),
+        ("199806", "gap", "M4", "A", "CAD", 5, 1, 1, 1),
+    ]
+    accounts = [("ONE", 1, "S1"), ("two", 2, "S2"), ("none", 3, "S9"), ("gap", 4, "S5")]
+    locations = [
+        (1, 1, "a1", "S1"), (1, 98, "h1", "S5"),     # S5 is only a head-office id while
+        (2, 1, "a2", "S2"),                          # studio 1's location has its own id
+    ]
+    return frames(spark, payments, accounts, locations, [])
+
+
+def test_status_per_store(spark):
+    rec = Reconciliation(**_classify_inputs(spark), report_date=REPORT.isoformat(), cut=False)
+    got = {r.storeid: r.location_status for r in rec.store_stats.collect()}
+    assert got == {"S1": Status.SINGLE_LOCATION, "S2": Status.MULTI_LOCATION,
+                   "S9": Status.NO_LOCATION, "S5": None}           # T2, T6
+    multi = rec.multi_location.collect()
+    assert len(multi) == 2 and {r.locs_per_mex for r in multi} == {2}
+    assert [r.storeid for r in rec.unmatched_store.collect()] == ["S9"]
+
+
+def test_no_match_counts_studioless_matches(spark):
+    inp = frames(spark, [("199806", "x", "M1", "A", "CAD", 1, 1, 1, 1)], [("x", 1, "S1")],
+                 [(None, 1, "a", "S1"), (None, 2, "b", "S1"), (3, 1, "c", "S7")], [])
+    rec = Reconciliation(**inp, report_date=REPORT.isoformat(), cut=False)
+    # two matching rows, both without a studio: "no match" once per such row
+    assert len(rec.unmatched_store.collect()) == 2
+    assert {r.location_status for r in rec.master_list.collect()} == {Status.NO_LOCATION}
+
+
+def test_merge_keeps_duplicates_in_merchant_order(spark):
+    rows = spark.createDataFrame([
+        ("2019-06-01", "s", "a", "M2", "CAD", "n", 1, 7, 7),
+        ("2019-06-01", "s", "a", "M1", "CAD", "n", 2, 7, 7),
+        ("2019-06-01", "s", "a", "M2", "CAD", "n", 3, 7, 7),
+        ("2019-06-01", "s", "a", None, "CAD", "n", 4, 7, 7),
+        ("2019-06-01", "t", "a", None, "CAD", "n", 5, 7, 7),
+        ("2019-06-01", "t", "a", None, "CAD", "n", 6, 7, 7),
+    ], "reportdate string, storeid string, agent string, merchant string, cur string, "
+       "account_name string, txn_volume int, roster_studioid int, roster_locationid int")
+    rows = rows.select("*", *[F.col("txn_volume").cast("decimal(28,10)").alias(c)
+                              for c in ("txn_count", "revenues", "net_commission")])
+    out = {r.storeid: r for r in merged_mappings(rows, rows).collect()}
+    assert out["s"].merchant == "M1,M2,M2" and float(out["s"].txn_volume) == 10
+    assert out["t"].merchant is None and out["t"].map == Status.MERGED
