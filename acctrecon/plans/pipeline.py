@@ -119,16 +119,16 @@ class Reconciliation:
         return allocate.allocate_evenly(self.parent_studio_match)
 
     @cached_property
-    def _sharing(self) -> DataFrame:
-        return allocate.split_by_sharing(self.even_distribution)
+    def _owners(self) -> DataFrame:
+        return allocate.owners_per_target(self.even_distribution)
 
     @cached_property
     def exclusive_location(self) -> DataFrame:
-        return allocate.exclusive_location(self._sharing)
+        return allocate.exclusive_location(self.even_distribution, self._owners)
 
     @cached_property
     def shared_location(self) -> DataFrame:
-        return allocate.shared_location(self._sharing)
+        return allocate.shared_location(self.even_distribution, self._owners)
 
     # S15-S18: combine ----------------------------------------------------------
     @cached_property
