@@ -28,3 +28,17 @@ def test_random_inputs_match_sql(spark, seed):
     rec = Reconciliation(**inputs, report_date=REPORT.isoformat())
     for sql_name, attr in STAGES.items():
         assert_same(as_report(getattr(rec, attr)), con, sql_name)
+
+
+def test_hot_key_inputs_match_sql(spark):
+    """One account name (so one store and merchant) holds over a third of the
+    payment rows; every stage must still equal the SQL."""
+    payments, accounts, locations, roster = random_inputs(212)
+    hot = payments[0]
+    payments = payments + [(hot[0], hot[1], hot[2], hot[3], cur, vol, 1, 1, 1)
+                           for cur in ("CAD", "EUR") for vol in range(1, 9)]
+    inputs = frames(spark, payments, accounts, locations, roster)
+    con = duck_for(inputs)
+    rec = Reconciliation(**inputs, report_date=REPORT.isoformat())
+    for sql_name, attr in STAGES.items():
+        assert_same(as_report(getattr(rec, attr)), con, sql_name)
