@@ -53,9 +53,13 @@ class Reconciliation:
     def active_locations(self) -> DataFrame:
         return locations.active_locations(self.locations)
 
+    @cached_property
+    def fact_rows(self) -> DataFrame:
+        return classify.fact_rows(self.facts)
+
     @cached_property
     def store_stats(self) -> DataFrame:
-        return classify.store_stats(self.facts, self.active_locations)
+        return classify.store_stats(self.fact_rows, self.active_locations)
 
     @cached_property
     def single_location(self) -> DataFrame:
@@ -77,7 +81,8 @@ class Reconciliation:
     @cached_property
     def master_list(self) -> DataFrame:
         smap = classify.store_map(self.store_stats, self.active_locations)
-        return self._cut(classify.master_list(self.facts, smap, self.report_date), "master_list")
+        return self._cut(classify.master_list(self.fact_rows, smap, self.report_date),
+                         "master_list")
 
     # S8-S11: the customer cascade ----------------------------------------------
     @cached_property
