@@ -28,17 +28,34 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     ``fallback`` only when none is configured."""
     root = checkpoint_root(spark)
     if root is None:
-        spark.conf.set("spark.checkpoint.dir", fallback)
+        # spark.checkpoint.dir is a static setting; the context's folder is
+        # the runtime one (Spark adds a unique subfolder under it)
         spark.sparkContext.setCheckpointDir(fallback)
-        root = fallback
+        root = checkpoint_root(spark)
     return root
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
+def run_folder(spark: SparkSession) -> str | None:
+    """A fresh folder for one pipeline run's cuts, under the checkpoint root."""
     root = checkpoint_root(spark)
-    if root is None:
-        return df
-    path = f"{root.rstrip('/')}/acctrecon/{uuid.uuid4().hex}/{name}"
+    return None if root is None else f"{root.rstrip('/')}/acctrecon/{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    spark = df.sparkSession
+    if folder is None:
+        folder = run_folder(spark)
+        if folder is None:
+            return df
+    path = f"{folder}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a run folder through the Hadoop file system the cluster uses
+    (works for HDFS, object stores and local paths alike)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))

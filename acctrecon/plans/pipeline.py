@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from acctrecon.operators import allocate, attach, cascade, classify, combine, locations, reports
 from acctrecon.operators import roster as roster_ops
-from acctrecon.plans.cut import materialize
+from acctrecon.plans.cut import materialize, remove_folder, run_folder
 from acctrecon.schemas import DEFAULT_REPORT_DATE
 
 
@@ -36,9 +36,24 @@ class Reconciliation:
         self.report_date = report_date
         self.strict_merchant_ids = strict_merchant_ids
         self.cut = cut
+        self._folder = run_folder(payments.sparkSession) if cut else None
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.cut else df
+        if self._folder is None:
+            return df
+        return materialize(df, name, self._folder)
+
+    def close(self) -> None:
+        """Remove this run's cut files.  Call it once every result read
+        from this object has been written or collected."""
+        if self._folder is not None:
+            remove_folder(self.payments.sparkSession, self._folder)
+
+    def __enter__(self) -> "Reconciliation":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
     # S1-S7: payments to locations ------------------------------------------
     @cached_property

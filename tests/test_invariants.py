@@ -64,3 +64,16 @@ def test_merge_partition_and_documented_losses(rec):
     assert s16.where(F.col("roster_locationid").isNull()).count() == 11
     # T4: every catch-all row shares the sentinel key, so all leave as 14
     assert s18.where(F.col("map").startswith("13 ")).count() == 0
+
+
+def test_close_removes_the_run_cuts(spark):
+    import os
+
+    from acctrecon.plans.cut import checkpoint_root
+
+    root = checkpoint_root(spark)
+    with Reconciliation(**fixture_inputs(spark, SF), report_date=FIXTURE_REPORT_DATE) as r:
+        n = r.master_list.count()
+        folder = r._folder
+        assert folder.startswith(root.rstrip("/")) and os.path.isdir(folder)
+    assert n > 0 and not os.path.exists(folder)
