@@ -93,11 +93,13 @@ class Reconciliation:
     def match_status(self) -> DataFrame:
         return classify.match_status(self.facts, self.store_stats, self.report_date)
 
+    def _build_master_list(self) -> DataFrame:
+        smap = classify.store_map(self.store_stats, self.active_locations)
+        return classify.master_list(self.fact_rows, smap, self.report_date)
+
     @cached_property
     def master_list(self) -> DataFrame:
-        smap = classify.store_map(self.store_stats, self.active_locations)
-        return self._cut(classify.master_list(self.fact_rows, smap, self.report_date),
-                         "master_list")
+        return self._cut(self._build_master_list(), "master_list")
 
     # S8-S11: the customer cascade ----------------------------------------------
     @cached_property
@@ -108,20 +110,24 @@ class Reconciliation:
     def roster_merchant_ids(self) -> DataFrame:
         return roster_ops.roster_merchant_ids(self.roster, strict=self.strict_merchant_ids)
 
+    def _build_exact_roster_match(self) -> DataFrame:
+        return cascade.exact_roster_match(self.master_list, self.roster, self.roster_backfilled)
+
     @cached_property
     def exact_roster_match(self) -> DataFrame:
-        return self._cut(cascade.exact_roster_match(self.master_list, self.roster,
-                                                    self.roster_backfilled), "exact_roster_match")
+        return self._cut(self._build_exact_roster_match(), "exact_roster_match")
 
     @cached_property
     def parent_locations(self) -> DataFrame:
         return cascade.parent_locations(self.roster, self.roster_backfilled)
 
+    def _build_parent_studio_match(self) -> DataFrame:
+        return cascade.parent_studio_match(self.master_list, self.parent_locations,
+                                           self.exact_roster_match)
+
     @cached_property
     def parent_studio_match(self) -> DataFrame:
-        return self._cut(cascade.parent_studio_match(self.master_list, self.parent_locations,
-                                                     self.exact_roster_match),
-                         "parent_studio_match")
+        return self._cut(self._build_parent_studio_match(), "parent_studio_match")
 
     @cached_property
     def merchant_id_match(self) -> DataFrame:
@@ -151,11 +157,21 @@ class Reconciliation:
         return allocate.shared_location(self.even_distribution, self._owners)
 
     # S15-S18: combine ----------------------------------------------------------
+    def _build_all_mappings(self) -> DataFrame:
+        return combine.union_mappings(self.exact_roster_match, self.catch_all,
+                                      self.merchant_id_match, self.exclusive_location,
+                                      self.shared_location)
+
     @cached_property
     def all_mappings(self) -> DataFrame:
-        u = combine.union_mappings(self.exact_roster_match, self.catch_all, self.merchant_id_match,
-                                   self.exclusive_location, self.shared_location)
-        return self._cut(u, "all_mappings")
+        return self._cut(self._build_all_mappings(), "all_mappings")
+
+    def result(self, name: str) -> DataFrame:
+        """Stage ``name`` as a final result: everything it reads is cut as
+        usual, but a cut stage is not written only to be read straight back
+        when nothing downstream will reuse it."""
+        build = getattr(self, f"_build_{name}", None)
+        return build() if build is not None else getattr(self, name)
 
     @cached_property
     def multi_mapped(self) -> DataFrame:
