@@ -4,25 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE re-plans at every shuffle boundary: it turns a sort-merge join into a
-# broadcast only when the measured side is under the threshold, splits skewed
-# join partitions (a hot store, name or sentinel key) and coalesces small
-# shuffle partitions.  Partial aggregation is on by default.
-PIPELINE_CONF = {
+# Runtime SQL settings the plans are designed for.  AQE re-plans at every
+# shuffle boundary: it turns a sort-merge join into a broadcast only when the
+# *measured* output of the finished shuffle stage is under the adaptive
+# threshold (the planner's static, estimate-based broadcast is off, so no
+# side is broadcast on a guess), splits skewed join partitions (a hot store,
+# name or sentinel key) and coalesces small shuffle partitions.  Partial
+# aggregation is on by default.
+RUNTIME_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # scan splits: 256 MB keeps a 100 TB payments scan near 400k tasks
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.exchange.reuse": "true",
+}
+PIPELINE_CONF = {
+    **RUNTIME_SQL_CONF,
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
 
 
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Set the runtime SQL settings above on an existing session."""
+    for k, v in RUNTIME_SQL_CONF.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", app: str = "acctrecon",
                   shuffle_partitions: int = 8, extra: dict | None = None,
                   driver_memory: str = "16g") -> SparkSession:
