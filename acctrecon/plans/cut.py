@@ -49,9 +49,18 @@ def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFram
             return df
     path = f"{folder}/{name}"
     df.write.mode("overwrite").parquet(path)
+    remove_at_exit(spark, folder)
     return spark.read.parquet(path)
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the driver's Hadoop file system delete ``folder`` when the
+    session's JVM ends, so no cut outlives the session that wrote it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> bool:
     """Delete a run folder through the Hadoop file system the cluster uses
     (works for HDFS, object stores and local paths alike)."""
