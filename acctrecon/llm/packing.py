@@ -16,7 +16,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctrecon.llm.bpe import MARKS, Bounded, crosses, packed, ship
+from acctrecon.llm.bpe import MARKS, SHORT, Bounded, crosses, packed, ship
 from acctrecon.llm.common import batches, rows_of, utf8
 
 LONGEST = 2048
@@ -73,6 +73,9 @@ class ChunkTokenizer:
         known.update([(c, known[c[:-1]] + self.marks[c[-1]]) for c in marked])
         for first, p, f in zip(firsts, parts, found):
             out.append(first + b"".join(f if None not in f else map(known.__getitem__, p)))
+        for c in basic:
+            if len(c) > SHORT:
+                del known[c]
         return out
 
 
