@@ -31,7 +31,8 @@ def heavy_candidates(digests: DataFrame, k: int = HEAVY, tracked: int = TRACKED)
     """At most ``k`` digests (column text_sha256) that may be frequent."""
     parts = (digests.withColumn("_lane", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
              .groupBy("_lane").agg(F.expr(f"approx_top_k_accumulate(text_sha256, {tracked})").alias("s")))
-    whole = parts.agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+    # grouped, as a task without rows can't hand over a state
+    whole = parts.groupBy(F.lit(0).alias("_all")).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
     return (whole.select(F.explode(F.expr(f"approx_top_k_estimate(s, {k})")).alias("t"))
             .where("t.count > 1").select(F.col("t.item").alias("text_sha256")))
 
