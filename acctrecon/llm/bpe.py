@@ -14,11 +14,13 @@ import base64
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -48,22 +50,67 @@ def crosses(text: str) -> bool:
     return _NEAR.search(text) is not None and _CROSS.search(text) is not None
 
 
-def letters_and_mark(chunk: str) -> tuple[str, str]:
-    """A chunk of letters and at most one ASCII mark after them, taken apart;
-    two empty strings for any other chunk.  With a space before it, such a
-    chunk is one piece, or two."""
-    if chunk.isalpha():
-        return chunk, ""
-    word, mark = chunk[:-1], chunk[-1:]
-    return (word, mark) if mark in MARKS and word.isalpha() else ("", "")
-
-
 def pattern():
     """The public splitting pattern, with white space as Unicode has it."""
     p = public_tokenizers.PATTERN.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")
     return regex.compile(p)
 
 
+def encode_texts(texts: list[str], known: Bounded, many) -> list[bytes]:
+    """Packed ids of each text.  Texts are split before single spaces, in
+    Arrow; each distinct chunk is looked up once, and ``many`` gives packed ids
+    for a list of texts that are not in ``known``."""
+    whole = [crosses(t) for t in texts]
+    parts = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()), " ")
+    ends = parts.offsets.to_numpy()
+    coded = parts.values.dictionary_encode()
+    at = coded.indices.to_numpy().astype(np.int64)
+    chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    if len(known) > known.most:
+        known.clear()
+    ids = list(map(known.get, chunks))
+    lack = [i for i, x in enumerate(ids) if x is None]
+    if lack:
+        marked = [i for i in lack if chunks[i][-1:] in MARKS and chunks[i][:-1].isalpha()]
+        rest = set(lack).difference(marked)
+        basic = list({chunks[i] for i in rest} | ({chunks[i][:-1] for i in marked} - known.keys()))
+        new = dict(zip(basic, many([" " + c for c in basic])))
+        known.update((c, x) for c, x in new.items() if len(c) <= SHORT)
+        marks = dict(zip(MARKS, many(list(MARKS))))
+        for i in marked:
+            word = chunks[i][:-1]
+            ids[i] = (new.get(word) or known[word]) + marks[chunks[i][-1]]
+            if len(word) < SHORT:
+                known[chunks[i]] = ids[i]
+        for i in rest:
+            ids[i] = new[chunks[i]]
+    # a text's first chunk has no space before it; a text that must be split
+    # as a whole is one chunk
+    at[ends[:-1]] = len(ids) + np.arange(len(texts))
+    ids += many([t if w else t.split(" ", 1)[0] for t, w in zip(texts, whole)])
+    every = np.frombuffer(b"".join(ids), dtype="<u4")
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[at]
+    done = np.concatenate([[0], np.cumsum(n)])
+    out = every[np.repeat(starts[at] - done[:-1], n) + np.arange(done[-1])]
+    cuts = done[ends]
+    return [out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def grouped(stream: Iterator[tuple], most: int = 4 << 20, count: int = 4096) -> Iterator[list[tuple]]:
+    """(id, UTF-8 text) rows in lists of bounded bytes."""
+    held, size = [], 0
+    for row in stream:
+        held.append(row)
+        size += len(row[1])
+        if size > most or len(held) >= count:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 class Bounded(dict):
     """A cache that computes what it lacks and empties itself when full."""
 
@@ -94,7 +141,7 @@ class PrefixEncoder:
         self.fits = Bounded(self._fits, 1 << 20)
         self.prefix = Bounded(self._last)
         self.piece = Bounded(self._piece)
-        self.chunk = Bounded(self._chunk)
+        self.chunk = Bounded(None)
         self.split = pattern().findall
 
     def _merged(self, data: bytes) -> list[int]:
@@ -165,20 +212,14 @@ class PrefixEncoder:
         known = self.piece
         return b"".join([known[p] if len(p) <= SHORT else self._piece(p) for p in self.split(text)])
 
-    def _chunk(self, chunk: str) -> bytes:
-        word, mark = letters_and_mark(chunk)
-        if not word:
-            return self._pieces(" " + chunk)
-        return self.chunk[word] + self.piece[mark] if mark else self._piece(" " + word)
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
+        return encode_texts(texts, self.chunk, lambda many: [
+            self._piece(t) if t[:1] == " " and t[1:].isalpha() else self._pieces(t) for t in many])
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        if crosses(text):
-            return self._pieces(text)
-        first, *rest = text.split(" ")
-        known = self.chunk
-        return self._pieces(first) + b"".join(
-            [known[c] if len(c) <= SHORT else self._chunk(c) for c in rest])
+        """The ids of one text as little-endian unsigned 32-bit integers."""
+        return self._pieces(text)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.spelling.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
@@ -253,9 +294,10 @@ def encode_documents(docs: DataFrame, ranks: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(stream):
-        encode = _encoder(name).encode
-        rows = ((i, encode(t.decode("utf-8", "replace"))) for i, t in rows_of(stream))
-        yield from batches(rows, schema, lambda r: len(r[1]) + 64)
+        encode = _encoder(name).encode_many
+        for held in grouped(rows_of(stream)):
+            ids = encode([t.decode("utf-8", "replace") for _, t in held])
+            yield from batches(zip([i for i, _ in held], ids), schema, lambda r: len(r[1]) + 64)
 
     return (docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
             .mapInArrow(run, "doc_id long, ids binary"))

@@ -16,13 +16,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctrecon.llm.bpe import MARKS, SHORT, Bounded, crosses, packed, ship
+from acctrecon.llm.bpe import SHORT, Bounded, encode_texts, grouped, packed, ship
 from acctrecon.llm.common import batches, rows_of, utf8
 
 LONGEST = 2048
 END_ID = 1
-#: Texts whose unknown chunks the tokenizer gets in one call.
-TOGETHER = 256
+#: Words that go through the tokenizer as one text.
+ROW = 256
 
 
 def pieces(n: int, longest: int = LONGEST) -> list[tuple[int, int]]:
@@ -49,34 +49,36 @@ class ChunkTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known = Bounded(None)
-        self.marks = Bounded(lambda mark: self._ids([mark])[0])
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        self.spaced[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith(space)]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Packed ids of each text.  Words of letters with a space before
+        them go through in rows: each is one piece, and just its first token
+        begins with a space."""
+        words = [i for i, t in enumerate(texts) if t[:1] == " " and t[1:].isalpha() and len(t) <= SHORT]
+        others = sorted(set(range(len(texts))).difference(words))
+        out: list[bytes] = [b""] * len(texts)
+        for i, e in zip(others, self._encoded([texts[i] for i in others])):
+            out[i] = packed(e)
+        rows = [words[k:k + ROW] for k in range(0, len(words), ROW)]
+        for row, e in zip(rows, self._encoded(["".join([texts[i] for i in row]) for row in rows])):
+            ids = np.array(e, dtype="<u4")
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(row):
+                raise ValueError("a row of words has other pieces than words")
+            data, ends = ids.tobytes(), [*(starts[1:] * 4).tolist(), len(ids) * 4]
+            for i, a, b in zip(row, (starts * 4).tolist(), ends):
+                out[i] = data[a:b]
+        return out
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known, out = self.known, []
-        whole = [crosses(t) for t in texts]
-        parts = [[""] if w else t.split(" ") for t, w in zip(texts, whole)]
-        firsts = self._ids([t if w else p.pop(0) for t, w, p in zip(texts, whole, parts)])
-        parts = [[] if w else p for w, p in zip(whole, parts)]
-        found = [list(map(known.get, p)) for p in parts]
-        lack = {c for p, f in zip(parts, found) if None in f for c, ids in zip(p, f) if ids is None}
-        if len(known) + 2 * len(lack) > known.most:
-            known.clear()
-            lack = {c for p in parts for c in p}
-            found = [[None]] * len(parts)
-        marked = [c for c in lack if c[-1:] in MARKS and c[:-1].isalpha()]
-        basic = list((lack - set(marked)) | ({c[:-1] for c in marked} - known.keys()))
-        if basic:
-            known.update(zip(basic, self._ids([" " + c for c in basic])))
-        known.update([(c, known[c[:-1]] + self.marks[c[-1]]) for c in marked])
-        for first, p, f in zip(firsts, parts, found):
-            out.append(first + b"".join(f if None not in f else map(known.__getitem__, p)))
-        for c in basic:
-            if len(c) > SHORT:
-                del known[c]
-        return out
+        """Packed ids of each text."""
+        return encode_texts(texts, self.known, self._ids)
 
 
 @lru_cache(maxsize=1)
@@ -104,19 +106,8 @@ def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int
     def run(stream):
         encode = _tokenizer(name).encode
 
-        def encoded():
-            held, size = [], 0
-            for row in rows_of(stream):
-                held.append(row)
-                size += len(row[1])
-                if len(held) >= TOGETHER or size > 1 << 21:
-                    yield held
-                    held, size = [], 0
-            if held:
-                yield held
-
         def rows():
-            for held in encoded():
+            for held in grouped(rows_of(stream)):
                 for (doc, _), ids in zip(held, encode([t.decode("utf-8", "replace") for _, t in held])):
                     ids += end
                     n = len(ids) // 4
