@@ -16,7 +16,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctrecon.llm.bpe import SHORT, Bounded, encode_texts, grouped, packed, ship
+from acctrecon.llm.bpe import CACHE, SHORT, Bounded, encode_texts, grouped, packed, ship
 from acctrecon.llm.common import batches, rows_of, utf8
 
 LONGEST = 2048
@@ -48,7 +48,7 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = Bounded(None)
+        self.known = Bounded(None, 2 * CACHE)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self.spaced[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith(space)]] = True
