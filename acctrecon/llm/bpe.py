@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from acctrecon.llm.common import BATCH_BYTES, batches, rows_of, utf8
 
 #: Entries of a worker's caches, each; a full cache starts afresh.
-CACHE = 1 << 19
+CACHE = 1 << 18
 #: Longer chunks and pieces are not cached.
 SHORT = 64
 #: Unicode White_Space (fixed values).
@@ -138,9 +138,9 @@ class PrefixEncoder:
         self.ranks = ranks
         self.spelling = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.fits = Bounded(self._fits, 1 << 20)
+        self.fits = Bounded(self._fits)
         self.prefix = Bounded(self._last)
-        self.piece = Bounded(self._piece)
+        self.piece = Bounded(self._piece, CACHE // 4)
         self.chunk = Bounded(None)
         self.split = pattern().findall
 

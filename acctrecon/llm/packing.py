@@ -48,7 +48,7 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = Bounded(None, 2 * CACHE)
+        self.known = Bounded(None, 4 * CACHE)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self.spaced[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith(space)]] = True
