@@ -4,9 +4,10 @@ The master list (S7) and the union of mappings (S15) are each read by four
 or more later stages.  At a cut the stage is written as parquet under the
 shared folder the cluster names in ``spark.checkpoint.dir`` and read back:
 later stages then start from files that survive the loss of any executor,
-carry real size statistics for AQE, and prune columns on read.  When no
-checkpoint folder is configured the plan is left uncut (Spark may still
-reuse identical exchanges).  A machine-local temporary folder is never used.
+carry real size statistics for AQE, and prune columns on read.  A session
+without a checkpoint folder is an error: uncut, the later stages' plans grow
+to tens of thousands of scans.  A machine-local temporary folder is never
+used, and the folders go when the session ends.
 """
 
 from __future__ import annotations
@@ -35,18 +36,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return root
 
 
-def run_folder(spark: SparkSession) -> str | None:
+def run_folder(spark: SparkSession) -> str:
     """A fresh folder for one pipeline run's cuts, under the checkpoint root."""
     root = checkpoint_root(spark)
-    return None if root is None else f"{root.rstrip('/')}/acctrecon/{uuid.uuid4().hex}"
+    if root is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root.rstrip('/')}/acctrecon/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     if folder is None:
         folder = run_folder(spark)
-        if folder is None:
-            return df
     path = f"{folder}/{name}"
     df.write.mode("overwrite").parquet(path)
     remove_at_exit(spark, folder)

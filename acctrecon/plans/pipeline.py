@@ -36,6 +36,8 @@ class Reconciliation:
         self.report_date = report_date
         self.strict_merchant_ids = strict_merchant_ids
         self.cut = cut
+        # without cuts the later stages' plans grow out of hand, so a missing
+        # folder is an error; ``cut=False`` is for single early stages
         self._folder = run_folder(payments.sparkSession) if cut else None
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
@@ -188,7 +190,7 @@ class Reconciliation:
     # reports -------------------------------------------------------------------
     @cached_property
     def unmatched_report(self) -> DataFrame:
-        return reports.unmatched_report(self.all_mappings, self.facts, self.master_list)
+        return reports.unmatched_report(self.all_mappings, self.master_list)
 
     @cached_property
     def unmatched_by_reason(self) -> DataFrame:

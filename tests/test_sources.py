@@ -14,8 +14,8 @@ HEADER = ("Account Name,Account ID,Enabled Date,Store ID,Store Password,Contacts
           "Sales Region,Service User Number,Processing Type,Related CC Account")
 SYNTHETIC = [
     "Shop Ünë,1000000001,2020-01-02 10:42:23.0,ST-1,pw-secret-1,Person One,CAD,CAN,,CC,",
-    "Shop Ünë,1000000002,28:01.0,ST-1,pw-secret-2,Person Two,CAD,CAN,,DD,1000000001",
-    "Shop Two,1000000003,55:50.0,ST-2,pw-secret-3,Person Three,GBP,UK,77,DD,1000000001; 1000000009",
+    "Shop Ünë,1000000002,12:34.5,ST-1,pw-secret-2,Person Two,CAD,CAN,,DD,1000000001",
+    "Shop Two,1000000003,07:08.9,ST-2,pw-secret-3,Person Three,GBP,UK,77,DD,1000000001; 1000000009",
 ]
 
 
@@ -54,4 +54,8 @@ def test_fixture_counts_sf0001(spark):
     assert inp["accounts"].count() == 158
     assert inp["locations"].count() == 180
     assert inp["roster"].count() == 180
-    assert inp["payments"].where(F.col("month") != "199806").count() == 0
+    months = inp["payments"].groupBy("month").count().collect()
+    assert len(months) > 5 and {m.month[4:] for m in months} == {"06"}    # every year's orders
+    odd = inp["payments"].where("not merchant rlike '^[0-9]{16}$'").select("merchant").distinct().collect()
+    assert "" in {r.merchant for r in odd} and any((r.merchant or "").startswith("M") for r in odd)
+    assert inp["payments"].where("merchant is null").count() > 0
