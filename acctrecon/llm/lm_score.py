@@ -152,7 +152,8 @@ def mark_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with target: labelled good and not toxic."""
     good = (labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
             .where("q = 1 and t = 0").select(F.col("doc_id").alias("_d"), F.lit(True).alias("_good")))
-    return (docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_d"), "left")
+    # labels grow with the documents, so the plan is the same at every size
+    return (docs.select("doc_id", "text").join(good.hint("merge"), F.col("doc_id") == F.col("_d"), "left")
             .select("doc_id", "text", F.coalesce("_good", F.lit(False)).alias("target")))
 
 
