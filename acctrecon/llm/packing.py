@@ -43,12 +43,12 @@ class ChunkTokenizer:
     piece of the tokenizer's pattern can cross, and each distinct chunk goes
     through the tokenizer once while it is cached."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = 4 * CACHE):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = Bounded(None, 4 * CACHE)
+        self.known = Bounded(None, cache)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self.spaced[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith(space)]] = True
@@ -82,11 +82,13 @@ class ChunkTokenizer:
 
 
 @lru_cache(maxsize=1)
-def _tokenizer(name: str) -> ChunkTokenizer:
-    return ChunkTokenizer(SparkFiles.get(name))
+def _tokenizer(name: str, cache: int) -> ChunkTokenizer:
+    """One tokenizer for a worker, kept over its tasks."""
+    return ChunkTokenizer(SparkFiles.get(name), cache)
 
 
-def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int = END_ID,
+         cache: int = 4 * CACHE) -> DataFrame:
     """Pieces of all rows of ``docs`` (doc_id, text): doc_id, start, length,
     ids (little-endian unsigned 32-bit), doc_tokens, bucket (log2 of length),
     sequence_id, offset (0).
@@ -94,7 +96,9 @@ def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int
     A document's ids end with ``end_id``, so null and empty texts have one
     piece of one id.  Rows that repeat a doc_id are packed each on its own;
     null ids are carried through; other columns are not read.  A sequence_id
-    is unique in the result.  An empty table gives an empty result.
+    is unique in the result.  An empty table gives an empty result.  A worker
+    keeps the ids of at most ``cache`` chunks (some 250 bytes each), also
+    after the stage has ended; the result does not depend on it.
     """
     if longest & (longest - 1) or longest < 1:
         raise ValueError("longest is a power of two")
@@ -104,7 +108,7 @@ def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(stream):
-        encode = _tokenizer(name).encode
+        encode = _tokenizer(name, cache).encode
 
         def rows():
             for held in grouped(rows_of(stream)):

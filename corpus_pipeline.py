@@ -34,9 +34,14 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of the documents that are left."""
-    return packing.pack(docs, TOKENIZER)
+    # workers live on through other stages, so they keep fewer chunks than a
+    # packing job of its own would
+    return packing.pack(docs, TOKENIZER, cache=PIPELINE_CACHE)
 
 
+#: Chunks that a worker of the pipeline keeps.
+PIPELINE_CACHE = 1 << 17
+
 STAGES = [("quality", classify), ("line_dedup", dedup_lines), ("near_dedup", dedup_near), ("packing", pack)]
 
 #: SQL can express neither the field nor the hashes nor the tokenizer; the
