@@ -7,16 +7,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+_BY_TARGET = (("merchant",), ("merchant", "roster_studioid", "roster_locationid"))
+#: Stage -> distribution and sort columns of its table.  The location stages
+#: carry no merchant and use the store id.
+LAYOUT: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "facts": (("merchant",), ("merchant",)),
+    "report_month": (("reportdate",), ("reportdate",)),
+    "active_locations": (("mid",), ("mid", "ho_mid", "studioid", "locationid")),
+    **{stage: (("storeid",), ("storeid", "studioid", "locationid"))
+       for stage in ("single_location", "unmatched_store", "multi_location")},
+    "master_list": (("merchant",), ("merchant", "studioid", "locationid")),
+    "catch_all": (("merchant",), ("merchant",)),
+    **{stage: _BY_TARGET
+       for stage in ("exact_roster_match", "parent_studio_match", "merchant_id_match", "even_distribution",
+                     "exclusive_location", "shared_location", "all_mappings", "multi_mapped",
+                     "merged_mappings", "final_list")},
+}
+
 
 def write_stage(df: DataFrame, path: str, *, distribute_by: Sequence[str] = (),
                 sort_by: Sequence[str] = (), partitions: int | None = None) -> None:
-    """Overwrite ``path`` with ``df`` hash-distributed on ``distribute_by``
-    and sorted within each file by ``sort_by`` (min/max statistics of the
-    sorted columns then prune row groups on read)."""
+    """Overwrite ``path`` with ``df`` distributed on ``distribute_by`` and
+    sorted within each file by ``sort_by`` (min/max statistics of the sorted
+    columns then prune row groups on read).  Adaptive execution may split a
+    key that outgrows a partition over several files."""
     out = df
     if distribute_by:
-        out = (out.repartition(partitions, *distribute_by) if partitions
-               else out.repartition(*distribute_by))
+        out = out.hint("rebalance", *([partitions] if partitions else []), *distribute_by)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     out.write.mode("overwrite").parquet(path)
@@ -24,8 +41,10 @@ def write_stage(df: DataFrame, path: str, *, distribute_by: Sequence[str] = (),
 
 def write_bucketed(df: DataFrame, table: str, *, buckets: int, bucket_by: Sequence[str],
                    sort_by: Sequence[str] = ()) -> None:
-    """Bucketed table so later joins on ``bucket_by`` skip the shuffle."""
-    w = df.write.mode("overwrite").bucketBy(buckets, *bucket_by)
+    """Bucketed table so later joins on ``bucket_by`` skip the shuffle.  Rows
+    are shuffled by bucket first, so each bucket is one file.  A bucket holds
+    a key whole by definition: use ``write_stage`` where a key may be hot."""
+    w = df.repartition(buckets, *bucket_by).write.mode("overwrite").bucketBy(buckets, *bucket_by)
     if sort_by:
         w = w.sortBy(*sort_by)
     w.saveAsTable(table)

@@ -2,9 +2,9 @@
 
 Each attribute is a DataFrame; nothing runs until an action, except the
 lineage cuts when ``cut=True`` and a checkpoint folder is configured.  The
-cuts are the stages read by three or more later stages: the master list
+cuts are the stages read by three or more later readers: the master list
 (S7), the exact and parent-studio cascade levels (S8, S9, each also a NOT IN
-set twice) and the union of mappings (S15).  Without them each reader would
+set twice), the union of mappings (S15) and its repeated keys.  Without them each reader would
 carry its own copy of the upstream plan.  Any stage can be taken alone:
 
     rec = Reconciliation(payments, accounts, locations, roster, "2019-06-01")
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from acctrecon.operators import allocate, attach, cascade, classify, combine, locations, reports
 from acctrecon.operators import roster as roster_ops
 from acctrecon.plans.cut import materialize, remove_folder, run_folder
+from acctrecon.plans.layout import LAYOUT, write_stage
 from acctrecon.schemas import DEFAULT_REPORT_DATE
 
 
@@ -147,22 +148,21 @@ class Reconciliation:
         return allocate.allocate_evenly(self.parent_studio_match)
 
     @cached_property
-    def _owners(self) -> DataFrame:
-        return allocate.owners_per_target(self.even_distribution)
+    def settled_targets(self) -> DataFrame:
+        return allocate.settle_targets(self.even_distribution)
 
     @cached_property
     def exclusive_location(self) -> DataFrame:
-        return allocate.exclusive_location(self.even_distribution, self._owners)
+        return allocate.exclusive_location(self.settled_targets)
 
     @cached_property
     def shared_location(self) -> DataFrame:
-        return allocate.shared_location(self.even_distribution, self._owners)
+        return allocate.shared_location(self.settled_targets)
 
     # S15-S18: combine ----------------------------------------------------------
     def _build_all_mappings(self) -> DataFrame:
         return combine.union_mappings(self.exact_roster_match, self.catch_all,
-                                      self.merchant_id_match, self.exclusive_location,
-                                      self.shared_location)
+                                      self.merchant_id_match, self.settled_targets)
 
     @cached_property
     def all_mappings(self) -> DataFrame:
@@ -175,17 +175,28 @@ class Reconciliation:
         build = getattr(self, f"_build_{name}", None)
         return build() if build is not None else getattr(self, name)
 
+    def write(self, name: str, path: str) -> None:
+        """Rebuild stage ``name`` as a table at ``path``, distributed and
+        sorted as ``layout.LAYOUT`` says (stages it does not list: as they
+        come)."""
+        distribute_by, sort_by = LAYOUT.get(name, ((), ()))
+        write_stage(self.result(name), path, distribute_by=distribute_by, sort_by=sort_by)
+
+    @cached_property
+    def multi_keys(self) -> DataFrame:
+        return self._cut(combine.multi_keys(self.all_mappings), "multi_keys")
+
     @cached_property
     def multi_mapped(self) -> DataFrame:
-        return combine.multi_mapped(self.all_mappings)
+        return combine.multi_mapped(self.all_mappings, self.multi_keys)
 
     @cached_property
     def merged_mappings(self) -> DataFrame:
-        return combine.merged_mappings(self.all_mappings, self.multi_mapped)
+        return combine.merged_mappings(self.all_mappings, self.multi_keys)
 
     @cached_property
     def final_list(self) -> DataFrame:
-        return combine.final_list(self.all_mappings, self.multi_mapped, self.merged_mappings)
+        return combine.final_list(self.all_mappings, self.multi_keys, self.merged_mappings)
 
     # reports -------------------------------------------------------------------
     @cached_property

@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the plans are designed for.  AQE re-plans at every
-# shuffle boundary: it turns a sort-merge join into a broadcast only when the
-# *measured* output of the finished shuffle stage is under the adaptive
-# threshold (the planner's static, estimate-based broadcast is off, so no
-# side is broadcast on a guess), splits skewed join partitions (a hot store,
-# name or sentinel key) and coalesces small shuffle partitions.  Partial
-# aggregation is on by default.
+# shuffle boundary: it turns a sort-merge join into a broadcast when the
+# measured output of the finished shuffle stage is under the adaptive
+# threshold, splits skewed join partitions (a hot store, name or sentinel
+# key) and coalesces small shuffle partitions.  Partial aggregation is on by
+# default.  The planner itself broadcasts a side only when the true size of
+# its files, times a compression factor, is under a small bound: the large
+# side of such a join is then never shuffled.
 RUNTIME_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # scan splits: 256 MB keeps a 100 TB payments scan near 400k tasks
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -31,9 +33,11 @@ PIPELINE_CONF = {
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings above on an existing session."""
+    """Set those of the runtime SQL settings above that the session has
+    otherwise.  They stay set: results are lazy and planned later."""
     for k, v in RUNTIME_SQL_CONF.items():
-        spark.conf.set(k, v)
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
 
 
 def build_session(master: str = "local[8]", app: str = "acctrecon",

@@ -92,24 +92,40 @@ ROSTER = T.StructType([
 
 
 # Fixed values ---------------------------------------------------------------
-# The numeric codes, the head-office location id and the catch-all sentinel
-# must equal the reference pipeline's; the label texts after the code are
-# neutral wording of the same meaning.
+# The status codes, the head-office location id and the catch-all sentinel
+# must equal the original pipeline's.  Stages carry the code alone.
 HEAD_OFFICE_LOCATION = 98
 CATCH_ALL_ID = 123456789
 DEFAULT_REPORT_DATE = "2019-06-01"
 
 
 class Status:
-    SINGLE_LOCATION = "3 - Matched (single location)"
-    NO_LOCATION = "4 - No match to a location"
-    MULTI_LOCATION = "5 - Matched (multiple locations)"
-    CUSTOMER_MATCH = "6 - Matched (via studio id or old client id)"
-    SINGLE_MATCHED = "7 - Applied to single matched location"
-    PARENT_STUDIO = "8 - Matched (applied to parent studio locations)"
-    SHARED_PARENT = "9 - Split to parent studio locations"
-    DISTRIBUTED = "10 - Distributed evenly to parent studio locations"
-    EXCLUSIVE_PARENT = "12 - Applied to single parent studio location"
-    CATCH_ALL = "13 - Not matched (catch-all account)"
-    MERGED = "14 - Sum applied to parent location"
-    MERCHANT_ID = "15 - Matched by roster merchant id"
+    SINGLE_LOCATION = 3
+    NO_LOCATION = 4
+    MULTI_LOCATION = 5
+    CUSTOMER_MATCH = 6
+    SINGLE_MATCHED = 7
+    PARENT_STUDIO = 8
+    SHARED_PARENT = 9
+    DISTRIBUTED = 10
+    EXCLUSIVE_PARENT = 12
+    CATCH_ALL = 13
+    MERGED = 14
+    MERCHANT_ID = 15
+
+
+#: What a reader of a report sees beside a code.
+STATUS_TEXT = {
+    Status.SINGLE_LOCATION: "store found at one location",
+    Status.NO_LOCATION: "store found nowhere",
+    Status.MULTI_LOCATION: "store found more than once",
+    Status.CUSTOMER_MATCH: "location is in the roster",
+    Status.SINGLE_MATCHED: "paid to the location itself",
+    Status.PARENT_STUDIO: "only the studio is in the roster",
+    Status.SHARED_PARENT: "share at a location other merchants use too",
+    Status.DISTRIBUTED: "amount shared out over the studio",
+    Status.EXCLUSIVE_PARENT: "share at a location of one merchant",
+    Status.CATCH_ALL: "no customer known",
+    Status.MERGED: "several rows of one target, added up",
+    Status.MERCHANT_ID: "merchant id is in the roster",
+}

@@ -59,3 +59,16 @@ def test_fixture_counts_sf0001(spark):
     odd = inp["payments"].where("not merchant rlike '^[0-9]{16}$'").select("merchant").distinct().collect()
     assert "" in {r.merchant for r in odd} and any((r.merchant or "").startswith("M") for r in odd)
     assert inp["payments"].where("merchant is null").count() > 0
+
+
+def test_read_inputs(spark):
+    from acctrecon.sources.readers import read_inputs
+    from tests.helpers import frames, random_inputs
+
+    root = tempfile.mkdtemp(prefix="acctrecon-inputs-")
+    given = frames(spark, *random_inputs(3))
+    for name, df in given.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    back = read_inputs(spark, root)
+    assert {n: back[n].count() for n in back} == {n: given[n].count() for n in given}
+    assert all(back[n].columns == given[n].columns for n in given)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from acctrecon import Reconciliation
 from acctrecon.functions import share
-from acctrecon.operators.combine import merged_mappings
+from acctrecon.functions.columns import status_text
+from acctrecon.operators.combine import merged_mappings, multi_keys
 from acctrecon.operators.roster import backfill_prior_period
 from acctrecon.operators.setops import in_set, not_in
 from acctrecon.schemas import ROSTER, Status
@@ -79,7 +80,7 @@ def test_status_per_store(spark):
     assert got == {"S1": Status.SINGLE_LOCATION, "S2": Status.MULTI_LOCATION,
                    "S9": Status.NO_LOCATION, "S5": None}           # T2, T6
     multi = rec.multi_location.collect()
-    assert len(multi) == 2 and {r.locs_per_mex for r in multi} == {2}
+    assert len(multi) == 2 and {r.n_matches for r in multi} == {2}
     assert [r.storeid for r in rec.unmatched_store.collect()] == ["S9"]
 
 
@@ -104,6 +105,33 @@ def test_merge_keeps_duplicates_in_merchant_order(spark):
        "account_name string, txn_volume int, roster_studioid int, roster_locationid int")
     rows = rows.select("*", *[F.col("txn_volume").cast("decimal(28,10)").alias(c)
                               for c in ("txn_count", "revenues", "net_commission")])
-    out = {r.storeid: r for r in merged_mappings(rows, rows).collect()}
+    out = {r.storeid: r for r in merged_mappings(rows, multi_keys(rows)).collect()}
     assert out["s"].merchant == "M1,M2,M2" and float(out["s"].txn_volume) == 10
     assert out["t"].merchant is None and out["t"].map == Status.MERGED
+
+
+def test_status_text_covers_every_code(spark):
+    codes = sorted(v for k, v in vars(Status).items() if k.isupper())
+    df = spark.createDataFrame([(c,) for c in [*codes, 99, None]], "c int")
+    got = {r.c: r.t for r in df.select("c", status_text("c").alias("t")).collect()}
+    assert all(got[c] for c in codes) and len({got[c] for c in codes}) == len(codes)
+    assert got[99] is None and got[None] is None
+
+
+def test_merchant_id_divisor_counts_pairs(spark):
+    """Two payments of a merchant with two roster keys: four rows, each a
+    quarter of its payment; another month's roster key does not count."""
+    from acctrecon.operators.cascade import merchant_id_match
+
+    master = spark.createDataFrame(
+        [(REPORT, "S1", "A", "M1", cur, "n", decimal.Decimal(8), 4, decimal.Decimal(0), decimal.Decimal(0), "f")
+         for cur in ("CAD", "EUR")],
+        "reportdate date, storeid string, agent string, merchant string, cur string, account_name string, "
+        "txn_volume decimal(18,4), txn_count bigint, revenues decimal(18,4), net_commission decimal(18,4), "
+        "source_file string")
+    mids = spark.createDataFrame([(REPORT, "M1", 1, 1), (REPORT, "M1", 1, 2), (PREV, "M1", 1, 3)],
+                                 "as_of date, roster_mid string, studioid int, locationid int")
+    none = spark.createDataFrame([], "merchant string")
+    rows = merchant_id_match(master, mids, none).collect()
+    assert len(rows) == 4 and {float(r.txn_volume) for r in rows} == {2.0}
+    assert {(r.payment_status, r.location_status, r.revenue_logic) for r in rows} == {(None, None, None)}
