@@ -8,6 +8,7 @@ need no padding and no sequence crosses documents.
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -44,6 +45,8 @@ class ChunkTokenizer:
     through the tokenizer once while it is cached."""
 
     def __init__(self, path: str, cache: int = 4 * CACHE):
+        # a task has one core: the library starts no threads of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
