@@ -1,24 +1,32 @@
 """Cross-entropy difference of two matched n-gram models.
 
 A target model and a background model have the same order, smoothing and
-vocabulary.  The vocabulary is ``WORDS`` hash classes of lower-cased words and
-the pair table ``PAIRS`` hash classes of neighbouring words, so a model has a
-fixed size at any scale while its counts cover every token of every text.
-P(w | v) mixes the pair estimate with an add-one word estimate.  A document's
-score is the mean, over its tokens, of the target loss less the background
-loss: the lower, the more it is like the target.
+vocabulary.  P(w | v) mixes the pair estimate with an add-one word estimate.
+A document's score is the mean, over its tokens, of the target loss less the
+background loss: the lower, the more it is like the target.
+
+The query counts every lower-cased word and pair of neighbouring words by
+itself: counts are tables that grow with the texts, joined with each
+document's pairs by shuffle, and nothing is held by the driver but the number
+of tokens and words.  ``fit`` and ``score`` are the same models of a fixed
+size, with ``WORDS`` hash classes of words and ``PAIRS`` of pairs that can
+collide; no query uses them.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctrecon.llm.bpe import Bounded
-from acctrecon.llm.common import batches, rows_of, utf8
+from acctrecon.llm.common import batches, cut, rows_of, utf8
 
 WORDS = 1 << 18
 PAIRS = 1 << 20
@@ -27,6 +35,8 @@ SEED = 11
 MIX = 0.5
 #: Tokens of one text that are worked on together.
 _BLOCK = 1 << 18
+#: Words of more bytes go by a 128-bit digest.
+_WORD = 48
 _START = 0
 _STRIDE = 0x9E3779B1
 
@@ -157,8 +167,83 @@ def mark_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .select("doc_id", "text", F.coalesce("_good", F.lit(False)).alias("target")))
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, *, words: int = WORDS,
-                             pairs: int = PAIRS) -> DataFrame:
-    """score() of all ``docs``, with the target model of the documents that
-    ``labels`` marks good and the background model of all documents."""
-    return score(docs, fit(mark_target(docs, labels), words, pairs))
+def _word(word: bytes) -> bytes:
+    # no word holds a line break, so no word is equal to a digest
+    return word if len(word) <= _WORD else b"\n" + hashlib.blake2b(word, digest_size=16).digest()
+
+
+def grams(docs: DataFrame) -> DataFrame:
+    """The word pairs of each row of ``docs`` (doc_id, text, target): row (a
+    number of its own for each row), doc_id, target, v (the word before, empty
+    at a text's start), w, n (how often).  A long text's pair can have several
+    rows.  A text without a token has one row, with n = 0."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("target", pa.bool_()), ("v", pa.binary()),
+                        ("w", pa.binary()), ("n", pa.int64())])
+
+    def run(stream):
+        row = TaskContext.get().partitionId() << 33
+        held: list[list] = [[] for _ in schema]
+
+        def flushed():
+            out = pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(held, schema)], schema=schema)
+            for c in held:
+                c.clear()
+            return out
+
+        for doc, text, target in rows_of(stream):
+            tokens, before = text.lower().split(), b""
+            for at in range(0, max(1, len(tokens)), _BLOCK):
+                part = [t if len(t) <= _WORD else _word(t) for t in tokens[at:at + _BLOCK]]
+                found = Counter(zip([before, *part], part)) if part else {(None, None): 0}
+                before = part[-1] if part else before
+                k = len(found)
+                v, w = zip(*found)
+                for c, values in zip(held, ([row] * k, [doc] * k, [target] * k, v, w, found.values())):
+                    c.extend(values)
+                if len(held[0]) >= 1 << 15:
+                    yield flushed()
+            row += 1
+        if held[0]:
+            yield flushed()
+
+    return (docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"), "target")
+            .mapInArrow(run, "row long, doc_id long, target boolean, v binary, w binary, n long"))
+
+
+def pair_losses(found: DataFrame, mix: float = MIX) -> DataFrame:
+    """(v, w, background, target): -log P(w | v) of every pair of ``found``
+    (v, w, n, target), by exact counts.  Both models' vocabulary is the words
+    of ``found``, so each model's P(. | v) sums to one."""
+    of_target = F.when(F.col("target"), F.col("n")).otherwise(F.lit(0))
+    pairs = cut(found.groupBy("v", "w").agg(F.sum("n").alias("pb"), F.sum(of_target).alias("pt")), "pairs")
+    contexts = pairs.groupBy("v").agg(F.sum("pb").alias("cb"), F.sum("pt").alias("ct"))
+    words = cut(pairs.groupBy("w").agg(F.sum("pb").alias("wb"), F.sum("pt").alias("wt")), "words")
+    size = words.agg(F.count("*").alias("n"), F.sum("wb").alias("b"), F.sum("wt").alias("t")).first()
+
+    def loss(pair, context, word, total):
+        alone = (F.col(word) + 1.0) / F.lit(float((total or 0) + size.n))
+        return -F.log(F.when(F.col(context) > 0, mix * F.col(pair) / F.col(context) + (1 - mix) * alone).otherwise(alone))
+
+    # the tables grow with the texts, so the plan is the same at every size; a
+    # hot word is one row there, and its many pairs are split by the join
+    return (pairs.join(contexts.hint("merge"), "v").join(words.hint("merge"), "w")
+            .select("v", "w", loss("pb", "cb", "wb", size.b).alias("background"),
+                    loss("pt", "ct", "wt", size.t).alias("target")))
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text) what score() returns, by exact
+    counts: the target model is that of the documents that ``labels`` marks
+    good, the background model that of all documents.  Odd rows are taken as
+    by score()."""
+    every = cut(grams(mark_target(docs, labels)), "grams")
+    held = every.where("n > 0").drop("target")
+    losses = pair_losses(every.where("n > 0").select("v", "w", "n", "target"))
+    scored = (held.join(losses.hint("merge"), ["v", "w"]).groupBy("row", "doc_id")
+              .agg(F.sum("n").alias("n_tokens"), F.sum(F.col("n") * F.col("target")).alias("target_loss"),
+                   F.sum(F.col("n") * F.col("background")).alias("background_loss"))
+              .select("doc_id", "n_tokens", F.col("target_loss") / F.col("n_tokens"),
+                      F.col("background_loss") / F.col("n_tokens")))
+    blank = every.where("n = 0").select("doc_id", "n", F.lit(0.0), F.lit(0.0))
+    return (scored.union(blank).toDF("doc_id", "n_tokens", "target_loss", "background_loss")
+            .withColumn("score", F.col("target_loss") - F.col("background_loss")))

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -222,6 +223,37 @@ def test_lm_score(spark, docs, none):
     assert got(lm_score.score(none, model)) == []
 
 
+def test_lm_score_counts_words_and_pairs_by_themselves(spark, docs, none):
+    labels = spark.createDataFrame([(7, 1, 0), (5, 1, 0), (11, 1, 0), (10, 0, 0), (4, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    good = {5, 7, 11}
+    texts = [(i, [b"", *(t or "").encode().lower().split()]) for i, t in ROWS]
+    pair, context, word = ([Counter(), Counter()] for _ in range(3))
+    for i, seq in texts:
+        for k in (0, 1) if i in good else (0,):
+            pair[k].update(zip(seq, seq[1:]))
+            context[k].update(seq[:-1])
+            word[k].update(seq[1:])
+
+    def p(k, v, w):
+        alone = (word[k][w] + 1) / (sum(word[k].values()) + len(word[0]))
+        return 0.5 * pair[k][v, w] / context[k][v] + 0.5 * alone if context[k][v] else alone
+
+    assert all(abs(sum(p(k, v, w) for w in word[0]) - 1) < 1e-9 for k in (0, 1) for v in context[0])
+    want = []
+    for i, seq in texts:
+        n = len(seq) - 1
+        loss = [sum(-np.log(p(k, v, w)) for v, w in zip(seq, seq[1:])) / max(n, 1) for k in (1, 0)]
+        want.append((i, n, *loss, loss[0] - loss[1]))
+    out = lm_score.cross_entropy_difference(docs, labels)
+    assert out.columns == ["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+    key = lambda r: (str(r[0]), r[1], round(r[2], 6))
+    rows, want = sorted(map(tuple, out.collect()), key=key), sorted(want, key=key)
+    assert [r[:2] for r in rows] == [r[:2] for r in want]
+    assert np.allclose([r[2:] for r in rows], [r[2:] for r in want], atol=1e-9)
+    assert got(lm_score.cross_entropy_difference(none, labels)) == []
+
+
 # -- 7
 @pytest.mark.parametrize("k", [1, 512])
 def test_exact_dedup(docs, none, k):
