@@ -120,7 +120,8 @@ def _open(uri: str):
 
 
 def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload another one stores."""
+    """(page_id, digest, bytes, refers_to) of the payloads of a page that
+    another one stores; a page_id can have several payloads."""
     body = utf8("html")
     digests = cut(pages.where("page_id is not null").select("page_id", F.sha1(body).alias("digest"),
                                                             F.octet_length(body).alias("bytes"))
@@ -128,7 +129,7 @@ def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     stored = cut(digests.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
                  .where("n > 1").select(F.col("digest").alias("_g"), F.col("bytes").alias("_b"), "refers_to"), "stored")
     return (digests.join(stored, (F.col("digest") == F.col("_g")) & (F.col("bytes") == F.col("_b")))
-            .where("page_id <> refers_to").select("page_id", "refers_to").distinct())
+            .where("page_id <> refers_to").select("page_id", "digest", "bytes", "refers_to").distinct())
 
 
 def write_archive(pages: DataFrame, folder: str, *, least: int = REVISIT_BYTES) -> DataFrame:
@@ -141,9 +142,12 @@ def write_archive(pages: DataFrame, folder: str, *, least: int = REVISIT_BYTES)
     """
     again = cut(revisits(pages, least), "revisits")
     body = utf8("html")
-    rows = (pages.select(F.col("page_id").cast("long"), "url", body.alias("payload"), F.sha1(body).alias("digest"))
-            .join(again.select(F.col("page_id").alias("_p"), F.col("refers_to").cast("long")),
-                  F.col("page_id") == F.col("_p"), "left")
+    rows = (pages.select(F.col("page_id").cast("long"), "url", body.alias("payload"), F.sha1(body).alias("digest"),
+                         F.octet_length(body).alias("bytes"))
+            .join(again.select(F.col("page_id").alias("_p"), F.col("digest").alias("_g"), F.col("bytes").alias("_b"),
+                               F.col("refers_to").cast("long")),
+                  (F.col("page_id") == F.col("_p")) & (F.col("digest") == F.col("_g"))
+                  & (F.col("bytes") == F.col("_b")), "left")
             .select("page_id", "url", "payload", "digest", "refers_to"))
     schema = pa.schema([("page_id", pa.int64()), ("bundle", pa.string()), ("frame", pa.int32()),
                         ("frame_at", pa.int64()), ("frame_bytes", pa.int64()), ("offset", pa.int64()),

@@ -145,6 +145,18 @@ def test_warc(spark):
     assert got(warc.archive_round_trip(pages.limit(0))) == []
 
 
+def test_warc_of_a_page_id_with_several_payloads(spark):
+    a, b, c = ("abc"[k] * 1200 for k in range(3))
+    rows = [(5, a), (9, a), (5, b), (5, "small"), (7, c), (5, c), (5, c), (9, b), (9, "small")]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+    folder = new_folder(spark, "warc")
+    back = warc.read_records(warc.write_archive(pages, folder), folder).collect()
+    refers = {(5, a): 9, (5, b): 9, (5, c): 7}
+    want = [(i, refers.get((i, h)), hashlib.sha1(h.encode()).hexdigest(), None if (i, h) in refers else h) for i, h in rows]
+    assert sorted([(r.page_id, r.refers_to, r.payload_digest, r.payload and bytes(r.payload).decode()) for r in back],
+                  key=str) == sorted(want, key=str)
+
+
 # -- 4
 def test_quotes(spark):
     rows = [(1, 0, "user", "First point.\n\nSecond point!"), (1, 1, "assistant", "> second  POINT\nAgreed."),
