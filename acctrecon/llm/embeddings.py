@@ -85,7 +85,7 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 
 def fit_cells(units: DataFrame, n: int) -> dict[int, np.ndarray]:
     """Centroids for each dimension found in a sample of ``SAMPLE`` rows."""
-    got = units.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("dim", "unit").collect()
+    got = units.orderBy(F.xxhash64("same"), "same").limit(SAMPLE).select("dim", "unit").collect()
     by: dict[int, list] = {}
     for r in got:
         by.setdefault(r.dim, []).append(np.frombuffer(r.unit))
@@ -203,17 +203,26 @@ def embedding_near_dedup(vectors: DataFrame, *, cosine: float = COSINE) -> DataF
     table gives an empty result.
     """
     rows = cut(prepared(vectors), "vectors")
+    # a vec_id can have several vectors, so each gets a number of its own,
+    # which stays as it was written
     units = cut(rows.where("same is not null").groupBy("same")
-                .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("label").alias("label"),
-                     F.first("dim").alias("dim"), F.first("unit").alias("unit")), "units")
+                .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"),
+                     F.first("dim").alias("dim"), F.first("unit").alias("unit"))
+                .withColumn("node", F.monotonically_increasing_id()), "units")
     cells = fit_cells(units, units.count())
     found = cut(compared(dealt(placed(units, cells, cosine)), cosine), "found")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("node").alias("a"), F.col("star").alias("b")))
-    known = (units.select(F.col("same").alias("_s"), "node", "copies")
-             .join(counts, "node", "left").join(classes, "node", "left")
-             .select("_s", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                     F.coalesce("component", "node").alias("component")))
+    known = cut(units.select(F.col("same").alias("_s"), "node", "copies", "least")
+                .join(counts, "node", "left").join(classes, "node", "left")
+                .select("_s", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "least",
+                        F.col("component").alias("class")), "known")
+    least = (known.where("class is not null").groupBy("class").agg(F.min("least").alias("component"))
+             .select(F.col("class").alias("_c"), "component"))
+    # vectors that link with no other one are a class of their own
+    known = (known.where("class is not null").join(least, F.col("class") == F.col("_c"))
+             .select("_s", "n_links", "component")
+             .union(known.where("class is null").select("_s", "n_links", "least")))
     return (rows.select("vec_id", "same").join(known, F.col("same") == F.col("_s"), "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component", "vec_id").alias("component_id"))

@@ -309,6 +309,16 @@ def test_embeddings(spark):
     assert got(embeddings.embedding_near_dedup(v.limit(0))) == []
 
 
+def test_embeddings_of_one_vec_id_link_each_by_itself(spark):
+    x, y, z = ([float(i == k) for i in range(4)] for k in range(3))
+    near = [1.0, 0.05, 0.0, 0.0]
+    rows = [(5, x), (5, y), (7, near), (8, near), (9, y), (5, z), (3, z), (6, [0.0, 0.0, 0.0, 1.0])]
+    v = spark.createDataFrame([(*r, "l") for r in rows], "vec_id long, embedding array<double>, label string")
+    want = [(5, 2, 5, True), (7, 2, 5, False), (8, 2, 5, False), (5, 1, 5, True), (9, 1, 5, False),
+            (5, 1, 3, False), (3, 1, 3, True), (6, 0, 6, True)]
+    assert got(embeddings.embedding_near_dedup(v)) == sorted(want, key=str)
+
+
 def test_components_of_a_long_chain(spark):
     n = 60
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(5, 5), (90, 80)], "a long, b long")
