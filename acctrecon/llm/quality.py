@@ -210,9 +210,11 @@ def train(docs: DataFrame, labels: DataFrame, *, most_docs: int = TRAIN_DOCS,
                     yield label, line_features(text)[0].tobytes()
         yield from batches(rows(), schema, lambda r: len(r[1]) + 64)
 
-    # the sample has most_docs rows at most, so its ids may be broadcast
+    # the sample has most_docs rows at most, so its ids may be broadcast; an id
+    # that repeats over many rows counts once, with the smallest of its texts
     got = (docs.select(F.col("doc_id"), utf8("text").alias("text"))
-           .join(F.broadcast(sample), F.col("doc_id") == F.col("_d")).select("label", "text")
+           .join(F.broadcast(sample), F.col("doc_id") == F.col("_d"))
+           .groupBy("_d", "label").agg(F.min("text").alias("text")).select("label", "text")
            .mapInArrow(run, "label int, x binary").collect())
     n = {k: max(1, sum(r.label == k for r in got)) for k in shares}
     got.sort(key=lambda r: (r.label, bytes(r.x)))  # the same fit whatever the order of rows

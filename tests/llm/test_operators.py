@@ -61,6 +61,16 @@ def test_quality(spark, docs, none):
     assert quality.keep_good(docs, quality.LineField()).columns == docs.columns
 
 
+def test_quality_counts_a_repeated_doc_id_once(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:20]
+    rows = [(i, ("good plain words here\n" if i % 2 else "BUY!!! $$$ 1234\n") * (1 + i % 5)) for i in ids]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    train = lambda r: quality.train(spark.createDataFrame(r, "doc_id long, text string"), labels)
+    once = train(rows)
+    many = train(rows + [(ids[0], rows[0][1] + "z" * k) for k in range(40)])
+    assert np.array_equal(once.weights, many.weights) and np.array_equal(once.links, many.links)
+
+
 def test_field_marginals_are_those_of_all_labelings():
     r = np.random.default_rng(0)
     m = quality.LineField(links=np.array([0.7, -0.4]))
