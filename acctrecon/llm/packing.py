@@ -42,15 +42,19 @@ def pieces(n: int, longest: int = LONGEST) -> list[tuple[int, int]]:
 class ChunkTokenizer:
     """Ids from a tokenizer file.  Text is cut before single spaces, where no
     piece of the tokenizer's pattern can cross, and each distinct chunk goes
-    through the tokenizer once while it is cached."""
+    through the tokenizer once while it is cached.
 
-    def __init__(self, path: str, cache: int = 4 * CACHE):
+    The string of an added token (<|endoftext|>) is text like any other, or
+    with ``added`` that token, as the library has it by default."""
+
+    def __init__(self, path: str, cache: int = 4 * CACHE, added: bool = False):
         # a task has one core: the library starts no threads of its own
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.known = Bounded(None, cache)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
@@ -81,17 +85,27 @@ class ChunkTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        return encode_texts(texts, self.known, self._ids)
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not whole:
+            return encode_texts(texts, self.known, self._ids)
+        # an added token can take in what is next to it, so no cut is safe
+        self.tokenizer.encode_special_tokens = False
+        try:
+            found = dict(zip(whole, map(packed, self._encoded([texts[i] for i in whole]))))
+        finally:
+            self.tokenizer.encode_special_tokens = True
+        others = iter(encode_texts([t for i, t in enumerate(texts) if i not in found], self.known, self._ids))
+        return [found[i] if i in found else next(others) for i in range(len(texts))]
 
 
 @lru_cache(maxsize=1)
-def _tokenizer(name: str, cache: int) -> ChunkTokenizer:
+def _tokenizer(name: str, cache: int, added: bool) -> ChunkTokenizer:
     """One tokenizer for a worker, kept over its tasks."""
-    return ChunkTokenizer(SparkFiles.get(name), cache)
+    return ChunkTokenizer(SparkFiles.get(name), cache, added)
 
 
 def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int = END_ID,
-         cache: int = 4 * CACHE) -> DataFrame:
+         cache: int = 4 * CACHE, added: bool = False) -> DataFrame:
     """Pieces of all rows of ``docs`` (doc_id, text): doc_id, start, length,
     ids (little-endian unsigned 32-bit), doc_tokens, bucket (log2 of length),
     sequence_id, offset (0).
@@ -101,7 +115,8 @@ def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int
     null ids are carried through; other columns are not read.  A sequence_id
     is unique in the result.  An empty table gives an empty result.  A worker
     keeps the ids of at most ``cache`` chunks (some 250 bytes each), also
-    after the stage has ended; the result does not depend on it.
+    after the stage has ended; the result does not depend on it.  The string of
+    an added token in a text is plain text, or with ``added`` that token.
     """
     if longest & (longest - 1) or longest < 1:
         raise ValueError("longest is a power of two")
@@ -111,7 +126,7 @@ def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(stream):
-        encode = _tokenizer(name, cache).encode
+        encode = _tokenizer(name, cache, added).encode
 
         def rows():
             for held in grouped(rows_of(stream)):

@@ -36,7 +36,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of the documents that are left."""
     # workers live on through other stages, so they keep fewer chunks than a
     # packing job of its own would
-    return packing.pack(docs, TOKENIZER, cache=PIPELINE_CACHE)
+    return packing.pack(docs, TOKENIZER, cache=PIPELINE_CACHE, added=True)
 
 
 #: Chunks that a worker of the pipeline keeps.

@@ -406,6 +406,16 @@ def test_tokenizer_random_texts():
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_packing_query_takes_added_tokens_as_the_library_does(spark, docs):
+    lib = Tokenizer.from_file(TOKENIZER)
+    assert lib.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    sf, more = new_folder(spark, "sf"), docs.limit(1).withColumn("doc_id", F.lit(99)).withColumn("text", F.lit("a <|endoftext|> b"))
+    docs.unionByName(more).write.parquet(f"{sf}/documents.parquet")
+    want = [(i, at, n, zlib.crc32(ids)) for i, t in [*ROWS, (99, "a <|endoftext|> b")]
+            for at, n, ids, _ in slow_pieces(lib.encode(t or "", add_special_tokens=False).ids + [1])]
+    assert got(QUERIES["op10_packing"](spark, sf).select("doc_id", "start", "length", "ids_crc32")) == sorted(want, key=str)
+
+
 # -- all
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
