@@ -9,18 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctrecon.llm import bpe, packing, quality
+from acctrecon.llm import bpe, packing, pieces, quality
 from acctrecon.llm.common import table
 from acctrecon.llm.embeddings import embedding_near_dedup
 from acctrecon.llm.exact_dedup import exact_dedup
+from acctrecon.llm.lexical import ranked_search
 from acctrecon.llm.line_dedup import line_dedup
 from acctrecon.llm.lm_score import cross_entropy_difference
 from acctrecon.llm.quotes import link_quotes
 from acctrecon.llm.simhash import simhash_near_dedup
 from acctrecon.llm.warc import archive_round_trip
+from acctrecon.llm.whitening import whiten
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,9 +73,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_documents(table(spark, sf_dir, "documents"), PIECES)
+    return pieces.decode_documents(encoded, PIECES).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality, op2_line_dedup, op3_warc, op4_quotes, op5_bpe, op6_lm_score,
-                            op7_exact_dedup, op8_embedding_dedup, op9_simhash, op10_packing)}
+                            op7_exact_dedup, op8_embedding_dedup, op9_simhash, op10_packing, op11_whitening,
+                            op12_lexical, op13_pieces)}
 
 _SPACE = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
 
@@ -121,4 +141,31 @@ root AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
 degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT v.vec_id, coalesce(d.n, 0) AS n_links, r.component_id, v.vec_id = r.component_id AS kept
 FROM v JOIN root r ON r.a = v.vec_id LEFT JOIN degree d ON d.a = v.vec_id""",
+    "op12_lexical": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+wanted AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY item_id, term),
+size AS (SELECT r, doc_id, len(t)::BIGINT AS n FROM d),
+total AS (SELECT count(*) FILTER (WHERE n > 0) AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+posting AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, term),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM posting CROSS JOIN total GROUP BY term, n_docs),
+scored AS (
+  SELECT item_id, doc_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // n_terms)))))::BIGINT
+    AS score
+  FROM wanted JOIN posting USING (term) JOIN weight USING (term) JOIN size USING (r) CROSS JOIN total
+  GROUP BY item_id, doc_id, r),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
