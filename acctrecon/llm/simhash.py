@@ -54,15 +54,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) of each row; fp has the 64 bits as a signed long."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(stream):
-        rows = ((i, fp - (1 << 64) if fp >> 63 else fp)
-                for i, fp in ((i, fingerprint(t, shingle)) for i, t in rows_of(stream)))
-        yield from batches(rows, schema)
+        yield from batches(((i, _signed(fingerprint(t, shingle))) for i, t in rows_of(stream)), schema)
 
     return (docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
             .mapInArrow(run, "doc_id long, fp long").select(F.col("doc_id").cast(kind), "fp"))
@@ -112,31 +114,66 @@ def links(fps: DataFrame, bits: int = BITS, longest: int = LIST) -> DataFrame:
     return near.union(stars.where("a <> b")).distinct()
 
 
+def classified(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = BITS, longest: int = LIST) -> DataFrame:
+    """(doc_id, fp, class) of each row: ``class`` is the smallest fingerprint
+    that links reach.  Fingerprints are the nodes, so a doc_id with several
+    texts joins nothing, and a row without a doc_id links like any other."""
+    if bits not in (2, 4):
+        raise ValueError("bits is 2 or 4")
+    rows = cut(fingerprints(docs, shingle), "fingerprints")
+    found = components(links(rows.select("fp", F.col("fp").alias("node")).distinct(), bits, longest))
+    return (rows.join(found, F.col("fp") == F.col("node"), "left")
+            .select("doc_id", "fp", F.coalesce("component", "fp").alias("class")))
+
+
 def simhash_near_dedup(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = BITS,
                        longest: int = LIST) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint (16
     hex digits), component_id (smallest doc_id that links reach).
 
     Null and empty texts have fingerprint zero and link like any other.
-    Equal fingerprints link, so repeated rows share a component.  Rows with a
-    null doc_id have a component_id only through rows that have one.  Other
-    columns are not read; an empty table gives an empty result.  ``bits`` is
-    even, 2 or 4.
+    Equal fingerprints link, so repeated rows share a component.  A doc_id that
+    repeats with texts of several fingerprints may have several components.
+    Rows with a null doc_id link too; a component_id is null where no row of
+    the component has an id.  Other columns are not read; an empty table gives
+    an empty result.  ``bits`` is even, 2 or 4.
     """
-    if bits not in (2, 4):
-        raise ValueError("bits is 2 or 4")
-    rows = cut(fingerprints(docs, shingle), "fingerprints")
-    fps = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "fps")
-    found = components(links(fps.where("node is not null"), bits, longest))
-    classes = (fps.join(found, "node", "left")
-               .select(F.col("fp").alias("_fp"), F.coalesce("component", "node").alias("component_id")))
-    return (rows.join(classes, F.col("fp") == F.col("_fp"), "left")
+    rows = cut(classified(docs, shingle=shingle, bits=bits, longest=longest), "classes")
+    # one row for each class, so that a large one is split by the join
+    least = cut(rows.groupBy("class").agg(F.min("doc_id").alias("component_id")), "least")
+    return (rows.join(least.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class"))
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The rows and columns of ``docs`` but for the documents of which a near
-    copy with a smaller doc_id stays.  Rows without a doc_id stay."""
-    gone = (simhash_near_dedup(docs, shingle=shingle, bits=bits).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(cut(gone, "gone"), docs["doc_id"] == F.col("_gone"), "left_anti")
+    """Of each component, one row of ``docs`` with all its columns: that of
+    the smallest doc_id (rows without one come last), then of the smallest
+    fingerprint, then of the smallest text (null before empty).
+
+    A component is one of near copies, so of rows that are equal one stays,
+    and a row of another component stays whatever its doc_id.  Null and empty
+    texts are copies of each other.  Any further columns may have any name; an
+    empty table gives an empty result.
+    """
+    rows = cut(classified(docs, shingle=shingle, bits=bits), "classes")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col("fp").alias("fp"))
+    best = cut(rows.groupBy("class").agg(F.min(first).alias("best")), "best")
+    judged = cut(rows.join(best.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class"))
+                 .select("doc_id", "fp", (F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("fp") == F.col("best.fp")))
+                         .alias("stays")), "judged")
+    ids = cut(judged.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("stays").alias("stays")), "ids")
+    # rows are told apart by their doc_id alone, but for those that repeat it
+    again = cut(ids.where("doc_id is null or n > 1").select(F.col("doc_id").alias("_again")), "again")
+    whole = docs.select(F.col("doc_id").alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    gone = ids.where("n > 1 or not stays").select(F.col("doc_id").alias("_gone"))
+    out = whole.where("id is not null").join(gone, F.col("id") == F.col("_gone"), "left_anti").select("row.*")
+    if again.isEmpty():
+        return out
+    kept = cut(judged.where("stays").join(again, F.col("doc_id").eqNullSafe(F.col("_again")), "left_semi")
+               .select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).distinct(), "kept")
+    of = F.pandas_udf(lambda texts: texts.map(lambda t: _signed(fingerprint(t, shingle))), "long")
+    few = (whole.join(again, F.col("id").eqNullSafe(F.col("_again")), "left_semi")
+           .withColumn("fp", of(F.coalesce("row.text", F.lit("")).cast("binary"))))
+    one = (few.join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")), "left_semi")
+           .groupBy("id", "fp").agg(F.min_by("row", F.struct(F.coalesce("row.text", F.lit("")), F.col("row.text").isNotNull())).alias("row")))
+    return out.unionByName(one.select("row.*"))
