@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctrecon.llm.common import batches, cut, new_folder, rows_of, utf8
+from acctrecon.plans.cut import remove_at_exit
 
 #: Equal payloads of fewer bytes are stored each on its own.
 REVISIT_BYTES = 1000
@@ -34,6 +35,8 @@ REVISIT_BYTES = 1000
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 64 << 20
 LEVEL = 3
+#: Compressed bytes that a task reads, about.
+READ_BYTES = 16 << 20
 # Fixed values of the seekable format.
 _SKIPPABLE = 0x184D2A5E
 _SEEKABLE = 0x8F92EAB1
@@ -132,7 +135,8 @@ def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
             .where("page_id <> refers_to").select("page_id", "digest", "bytes", "refers_to").distinct())
 
 
-def write_archive(pages: DataFrame, folder: str, *, least: int = REVISIT_BYTES) -> DataFrame:
+def write_archive(pages: DataFrame, folder: str, *, least: int = REVISIT_BYTES, frame_bytes: int = FRAME_BYTES,
+                  bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write ``pages`` (page_id, url, html) to bundles in ``folder``; the
     index, a row for each record, kept as a table in the shared folder.
 
@@ -154,12 +158,12 @@ def write_archive(pages: DataFrame, folder: str, *, least: int = REVISIT_BYTES)
                         ("length", pa.int64())])
 
     def run(stream):
-        yield from batches(write_bundles(rows_of(stream), folder), schema)
+        yield from batches(write_bundles(rows_of(stream), folder, frame_bytes, bundle_bytes), schema)
 
     return cut(rows.mapInArrow(run, _INDEX), "index")
 
 
-def write_bundles(rows, folder: str) -> Iterator[tuple]:
+def write_bundles(rows, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> Iterator[tuple]:
     task = TaskContext.get()
     part = task.partitionId() if task else 0
     store, path = _open(folder)
@@ -177,9 +181,9 @@ def write_bundles(rows, folder: str) -> Iterator[tuple]:
             out, waiting = BundleWriter(store.open_output_stream(f"{path}/{name}", compression=None)), []
         data = record(page, url, payload, digest, refers_to)
         waiting.append((page, *out.add(data), len(data)))
-        if out.held.tell() >= FRAME_BYTES:
+        if out.held.tell() >= frame_bytes:
             yield from flushed()
-            if out.at >= BUNDLE_BYTES:
+            if out.at >= bundle_bytes:
                 out.close()
                 out = None
     if out is not None:
@@ -191,33 +195,41 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records that ``index`` (all or some of its rows) names: page_id,
     url, record_type, refers_to, payload, payload_bytes, payload_digest.  Only
     the frames that hold them are read.  A revisit's payload is null."""
-    frames = (index.groupBy("bundle", "frame", "frame_at", "frame_bytes")
-              .agg(F.sort_array(F.collect_list("offset")).alias("offsets")))
+    frames = cut(index.groupBy("bundle", "frame", "frame_at", "frame_bytes")
+                 .agg(F.sort_array(F.collect_list("offset")).alias("offsets")), "frames")
+    # tasks by the bytes that they read, not by those of the index; frames of
+    # one bundle side by side, so that a task opens few files
+    tasks = max(1, -(-(frames.agg(F.sum("frame_bytes")).first()[0] or 0) // READ_BYTES))
+    frames = frames.repartitionByRange(tasks, "bundle", "frame_at").sortWithinPartitions("bundle", "frame_at")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
                         ("refers_to", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string())])
 
     def run(stream):
-        tables: dict[str, list] = {}
         unzip = zstandard.ZstdDecompressor()
         store, path = _open(folder)
 
         def rows():
-            for bundle, frame, at, size, offsets in rows_of(stream):
-                file = f"{path}/{bundle}"
-                with store.open_input_file(file) as f:
-                    if bundle not in tables:
-                        tables.clear()
-                        tables[bundle] = seek_table(f, f.size())
-                    place, packed, raw = tables[bundle][frame]
+            name = f = table = None
+            try:
+                for bundle, frame, at, size, offsets in rows_of(stream):
+                    if bundle != name:
+                        if f is not None:
+                            f.close()
+                        name, f = bundle, store.open_input_file(f"{path}/{bundle}")
+                        table = seek_table(f, f.size())
+                    place, packed, raw = table[frame]
                     if (place, packed) != (at, size):
-                        raise ValueError(f"index and seek table of {file} differ")
+                        raise ValueError(f"index and seek table of {path}/{bundle} differ")
                     f.seek(place)
                     data = unzip.decompress(f.read(packed), max_output_size=raw)
-                wanted = set(offsets)
-                for offset, head, block in parse(data):
-                    if offset in wanted:
-                        yield _row(head, block)
+                    wanted = set(offsets)
+                    for offset, head, block in parse(data):
+                        if offset in wanted:
+                            yield _row(head, block)
+            finally:
+                if f is not None:
+                    f.close()
 
         yield from batches(rows(), schema, lambda r: len(r[4] or b"") + 256)
 
@@ -239,6 +251,11 @@ def _row(head: dict[str, str], block: bytes) -> tuple:
 
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write all pages, then read all records back from the bundles."""
+    """Write all pages, then read all records back from the bundles.  Bundles
+    in a folder of this function's own go when the session ends."""
+    own = folder is None
     folder = folder or new_folder(pages.sparkSession, "warc")
-    return read_records(write_archive(pages, folder), folder)
+    index = write_archive(pages, folder)
+    if own:
+        remove_at_exit(pages.sparkSession, folder)
+    return read_records(index, folder)
