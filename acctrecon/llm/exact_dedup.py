@@ -9,12 +9,13 @@
    broadcast, and the copies of a frequent digest are settled without a
    shuffle.
 4. The remaining digests, each a small share of the rows by the summary's
-   guarantee, are grouped by an ordinary shuffle.
+   guarantee, are counted by an ordinary shuffle, and those that repeat are
+   joined with their rows; a digest that still has many is split by the join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctrecon.llm.common import cut
@@ -54,10 +55,13 @@ def exact_dedup(docs: DataFrame, *, k: int = HEAVY, tracked: int = TRACKED) -> D
     heavy = cut(digests.join(F.broadcast(candidates), "text_sha256", "left_semi")
                 .groupBy("text_sha256").agg(*winner).where("group_size > 1"), "winners")
     settled = digests.join(F.broadcast(heavy), "text_sha256")
-    same = Window.partitionBy("text_sha256")
-    rest = (digests.join(F.broadcast(heavy), "text_sha256", "left_anti")
-            .withColumn("keep_id", F.max("doc_id").over(same))
-            .withColumn("group_size", F.count("*").over(same)))
+    rest = digests.join(F.broadcast(heavy), "text_sha256", "left_anti")
+    # written first, so that the join reads two plain exchanges
+    again = cut(rest.groupBy("text_sha256").agg(*winner).where("group_size > 1"), "again")
+    rest = (rest.join(again, "text_sha256", "left")
+            .select("text_sha256", "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id"))
+                    .otherwise(F.col("keep_id")).alias("keep_id"),
+                    F.coalesce("group_size", F.lit(1)).alias("group_size")))
     out = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return settled.withColumn("kept", kept).select(out).union(rest.withColumn("kept", kept).select(out))
