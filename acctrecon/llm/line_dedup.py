@@ -9,10 +9,10 @@ The index of a corpus has three tables in the shared folder:
 
 insert() and delete() merge the exact tables and move just those keys in or
 out of the filters whose count crossed the bound, so a deletion undoes its
-insertion.  A document's lines first meet the filters, map-side, and only the
-few that pass are joined with the counts, which decide.  The filters are
-broadcast when their measured size is within ``BROADCAST_BYTES``; beyond it
-all lines take the exact join.
+insertion.  A document's lines first meet the filters, and only the few that
+pass are joined with the counts, which decide.  The filters are broadcast when
+their measured size is within ``BROADCAST_BYTES``; beyond it the postings are
+dealt to the shards and meet the filter of their shard there.
 """
 
 from __future__ import annotations
@@ -33,6 +33,10 @@ MIN_DOCS = 3
 BROADCAST_BYTES = 32 << 20
 #: Keys a shard is planned for.
 SHARD_KEYS = 1 << 16
+#: Postings of one shard that meet its filter in one task, about.
+PROBE = 1 << 20
+#: Tables that the postings of an index are spread over, at most.
+PARTS = 16
 SLOTS = 4
 KICKS = 500
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -144,14 +148,15 @@ class LineIndex:
 
     def __init__(self, spark: SparkSession, postings: DataFrame | None = None,
                  counts: DataFrame | None = None, filters: DataFrame | None = None,
-                 shards: int = 1, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS):
+                 shards: int = 1, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, parts: int = 1):
+        self.parts = parts  # tables that the postings are spread over
         self.spark, self.shards, self.min_docs, self.min_chars = spark, shards, min_docs, min_chars
         empty = spark.createDataFrame
         self.postings = postings if postings is not None else empty([], "doc_id long, key binary")
         self.counts = counts if counts is not None else empty([], "key binary, n_docs long, owner long")
         self.filters = filters if filters is not None else empty([], _FILTER)
 
-    def _with(self, postings: DataFrame, counts: DataFrame, moved: DataFrame, regrow: bool) -> LineIndex:
+    def _with(self, postings: DataFrame, counts: DataFrame, moved: DataFrame, regrow: bool, parts: int = 1) -> LineIndex:
         """moved: keys with ``into``, true to insert and false to delete."""
         shards, filters = self.shards, self.filters
         shared = counts.where(F.col("n_docs") >= self.min_docs)
@@ -160,11 +165,13 @@ class LineIndex:
             shards, filters = max(wanted, shards), self.filters.limit(0)
             moved = shared.select("key", F.lit(True).alias("into"))
         built = cut(update_filters(filters, moved, shared, shards), "filters")
-        return LineIndex(self.spark, postings, counts, built, shards, self.min_docs, self.min_chars)
+        return LineIndex(self.spark, postings, counts, built, shards, self.min_docs, self.min_chars, parts)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """Index further documents (doc_id, text).  Documents that the index
-        holds already add nothing for the keys they hold."""
+        holds already add nothing for the keys they hold.  Their postings are
+        a table beside those that are there, which are written anew once in
+        ``PARTS`` insertions."""
         new = cut(postings_of(docs, self.min_chars).distinct()
                   if self.postings.isEmpty() else
                   postings_of(docs, self.min_chars).distinct().join(
@@ -184,7 +191,9 @@ class LineIndex:
         moved = (both.where((F.col("was") < self.min_docs) & (total >= self.min_docs))
                  .select("key", F.lit(True).alias("into")))
         counts = both.select("key", total.alias("n_docs"), "owner")
-        return self._with(cut(self.postings.union(new), "postings"), counts, moved, True)
+        every = self.postings.union(new)
+        whole = self.parts >= PARTS
+        return self._with(cut(every, "postings") if whole else every, counts, moved, True, 1 if whole else self.parts + 1)
 
     def delete(self, ids: DataFrame) -> LineIndex:
         """Take out the documents whose doc_id is in ``ids``."""
@@ -205,7 +214,7 @@ class LineIndex:
         """The postings whose key the filters may hold."""
         size = self.filters.agg(F.sum(F.length("slots"))).first()[0] or 0
         if size > BROADCAST_BYTES:
-            return postings
+            return self._probed_by_shard(postings)
         held = self.spark.sparkContext.broadcast(
             {r.shard: (r.buckets, bytes(r.slots)) for r in self.filters.toLocalIterator()})
         shards = self.shards
@@ -226,6 +235,29 @@ class LineIndex:
 
         return postings.select("doc_id", "key").mapInArrow(run, "doc_id long, key binary")
 
+    def _probed_by_shard(self, postings: DataFrame) -> DataFrame:
+        """The same, where the filters are too large for every task: postings
+        and filters meet by shard.  A shard with many postings is dealt to
+        several tasks, each with a copy of its filter."""
+        rows = postings.select(_shard(self.shards).alias("shard"), "doc_id", "key")
+        lanes = cut(rows.groupBy("shard").agg(F.count("*").alias("n"))
+                    .select(F.col("shard").alias("_s"), F.ceil(F.col("n") / F.lit(PROBE)).cast("int").alias("_lanes")), "lanes")
+        rows = (rows.join(lanes, F.col("shard") == F.col("_s"))
+                .select("shard", F.pmod(F.xxhash64("doc_id", "key"), F.col("_lanes")).cast("int").alias("lane"), "doc_id", "key"))
+        filters = (self.filters.join(lanes, F.col("shard") == F.col("_s"))
+                   .select("shard", F.explode(F.sequence(F.lit(0), F.col("_lanes") - 1)).alias("lane"), "buckets", "slots"))
+        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary())])
+
+        def probe(held, rows):
+            if not held.num_rows or not rows.num_rows:
+                return schema.empty_table()
+            f = CuckooFilter(held["buckets"][0].as_py(), held["slots"][0].as_py())
+            keys = np.frombuffer(b"".join(rows["key"].to_pylist()), dtype=np.uint8).reshape(-1, 16)
+            return rows.select(["doc_id", "key"]).filter(pa.array(f.holds(keys)))
+
+        return (filters.groupBy("shard", "lane").cogroup(rows.groupBy("shard", "lane"))
+                .applyInArrow(probe, "doc_id long, key binary"))
+
     def drops(self, postings: DataFrame) -> DataFrame:
         """(doc_id, keys): the line keys that each document loses."""
         hit = cut(self._maybe_shared(postings), "hits")
