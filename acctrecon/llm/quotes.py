@@ -2,9 +2,10 @@
 
 Messages may quote earlier ones in the manner of mail: leading '>' marks, one
 for each level of nesting.  Each message is parsed into its own text and its
-quoted passages with their level.  Passages (paragraphs, then their lines) are
-normalised and hashed, and joined with the first message of the conversation
-that has the passage as text of its own.  A message replies to the latest
+quoted passages with their level.  Passages (paragraphs, then their lines, then
+sentences, which also link part of a paragraph or one that was wrapped anew)
+are normalised and hashed, and joined with the first message of the
+conversation that has the passage as text of its own.  A message replies to the latest
 original of its outermost quotes that an earlier turn wrote; one that quotes
 nothing known replies to the turn before it.  The rebuilt conversation has
 each message once, without quotes, after the one that it replies to, and
@@ -25,6 +26,8 @@ from acctrecon.llm.common import batches, cut, positions, rows_of
 _MARKS = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 #: A line that announces a quotation, when one follows.
 _SAYS = re.compile(r"[ \t]*(?:On\b.{0,200}\bwrote|.{1,100}\b(?:wrote|said|writes)):[ \t]*$")
+#: White space between sentences.
+_SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'”’)\]]*\s+|(?<=[。！？])")
 _MESSAGE = "conv_id long, turn long, role string, text string, max_level int"
 
 
@@ -56,14 +59,17 @@ def passage_key(text: str) -> int | None:
 
 def passages(parsed: list[tuple[int, str]]) -> list[tuple[int, int, int]]:
     """Distinct (level, grain, key) of a message: grain 0 for a paragraph, a
-    run of lines of one level; 1 for each of its lines."""
+    run of lines of one level; 1 for each of its lines; 2 for each of its
+    sentences, which may run over lines."""
     found: set[tuple[int, int, int]] = set()
     run: list[str] = []
     last = 0
 
     def close():
-        if run and (key := passage_key(" ".join(run))) is not None:
+        whole = " ".join(run)
+        if run and (key := passage_key(whole)) is not None:
             found.add((last, 0, key))
+            found.update((last, 2, k) for x in _SENTENCE.split(whole) if (k := passage_key(x)) is not None)
         run.clear()
 
     for level, line in parsed:
@@ -134,7 +140,8 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     texts, found = _parsed(messages)
     texts, found = cut(texts, "messages"), cut(found, "passages")
     links = cut(quote_links(found), "links")
-    # outermost level first, paragraphs before lines, the latest original
+    # outermost level first, paragraphs before lines before sentences, the
+    # latest original
     by = F.struct((-F.col("level")).alias("l"), (-F.col("grain")).alias("g"), F.col("original").alias("o"))
     replies = (links.groupBy("conv_id", "turn")
                .agg(F.max(F.when(F.col("original").isNotNull(), by)).alias("best"),
