@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctrecon.llm.bpe import CACHE, SHORT, Bounded, encode_texts, grouped, packed, ship
@@ -22,6 +22,8 @@ from acctrecon.llm.common import batches, rows_of, utf8
 
 LONGEST = 2048
 END_ID = 1
+_SEQUENCES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
+              "bucket int")
 #: Words that go through the tokenizer as one text.
 ROW = 256
 
@@ -147,5 +149,14 @@ def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:
-    """The sequences as files, one folder for each length."""
-    packed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    """The sequences as files, one folder for each length.  Sequences of one
+    length are dealt to the same tasks, and a length that many have to several,
+    so folders hold few, full files."""
+    packed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, length: int | None = None) -> DataFrame:
+    """The sequences of ``write_buckets``, all or those of one length, whose
+    folder alone is read then."""
+    out = spark.read.schema(_SEQUENCES).parquet(path)
+    return out if length is None else out.where(F.col("bucket") == length.bit_length() - 1)

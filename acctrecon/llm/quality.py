@@ -241,7 +241,13 @@ def score_documents(docs: DataFrame, model: LineField) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: LineField) -> DataFrame:
-    """The rows of ``docs`` with a score of one half or more, all columns."""
+    """The rows of ``docs`` with a score of one half or more, all columns.
+
+    Null and empty texts are judged as one empty line.  Each row is judged by
+    its text alone, so repeated rows, rows without a doc_id and ties of any
+    kind need no rule; further columns may have any name; an empty table gives
+    an empty result.
+    """
     @F.pandas_udf("double")
     def quality(texts: pd.Series) -> pd.Series:
         return pd.Series([model.score(bytes(t)) for t in texts], dtype="float64")

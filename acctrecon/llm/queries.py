@@ -70,7 +70,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, added=True).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+        "bucket")
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
