@@ -83,6 +83,41 @@ def test_field_marginals_are_those_of_all_labelings():
     assert np.allclose(m.marginals(s), good / total)
 
 
+def slow_line(line):
+    """Own features of a line, one by one."""
+    words, n = line.split(), max(1, len(line))
+    kinds = ["".join(map(chr, range(97, 123))), "".join(map(chr, range(65, 91))), "0123456789", "\t\n\x0b\x0c\r ", ".,;:'\"()-?", "!", "|"]
+    share = [sum(chr(c) in k for c in line) / n for k in kinds]
+    high = sum(c >= 128 for c in line) / n
+    other = sum(c < 128 and not any(chr(c) in k for k in kinds) for c in line) / n
+    some = [0.0] * 5
+    if words:
+        marked = sum(w[-1] < 128 and (chr(w[-1]) == "!" or not any(chr(w[-1]) in k for k in kinds)) for w in words)
+        some = [np.log1p(len(words)), np.log1p((len(line) - len(words) + 1) / len(words)), len(set(words)) / len(words),
+                sum(a == b for a, b in zip(words, words[1:])) / len(words), marked / len(words)]
+    return np.array([np.log1p(len(line)), *some, *share, other, high])
+
+
+def test_quality_score_is_the_slow_one(spark):
+    """Features line by line, marginals over all labelings, weights by length."""
+    model = quality.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    assert model.weights.any()
+    for text in ("", "One short line.", "A first line of words\n\nBUY NOW $$$ 50% OFF!!!\n| a | b |\nthe the end of it é #",
+                 "x" * 400 + "\ny", "\n\n"):
+        lines = text.encode().split(b"\n")
+        own = [(slow_line(x) - model.mean) / model.scale for x in lines]
+        s, n = [], len(lines)
+        for i in range(n):
+            near = [own[i], own[i - 1] if i else own[0] * 0, own[i + 1] if i + 1 < n else own[0] * 0]
+            s.append(np.concatenate([*near, [float(i == 0), float(i == n - 1), 1.0]]) @ model.weights)
+        total, good = 0.0, np.zeros(n)
+        for y in itertools.product((0, 1), repeat=n):
+            w = np.exp(sum(s[i] for i in range(n) if y[i]) + sum(model.links[a] for a, b in zip(y, y[1:]) if a == b))
+            total, good = total + w, good + w * np.array(y)
+        length = np.array([len(x) + 1 for x in lines])
+        assert abs(model.score(text.encode()) - (good / total) @ length / length.sum()) < 1e-9, text
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rows = {r.doc_id: r for r in QUERIES["op1_quality"](spark, sf).collect()}
@@ -128,6 +163,48 @@ def test_line_index_is_reversible(spark, docs):
     assert gone.counts.count() == 0 and all(not any(r.slots) for r in gone.filters.collect())
 
 
+@pytest.mark.parametrize("probe", [1 << 20, 2])
+def test_filters_past_the_bound_are_probed_by_shard(spark, docs, monkeypatch, probe):
+    """With no filter small enough to be sent, shards of few keys, and shards
+    whose postings go to several tasks."""
+    for name, value in (("BROADCAST_BYTES", 0), ("SHARD_KEYS", 2), ("PROBE", probe)):
+        monkeypatch.setattr(L, name, value)
+    lines = [f"shared line number {k:04d} of many" for k in range(40)]
+    rows = [*ROWS, *[(100 + i, "\n".join(lines[i % 7:] + [f"own line of document {i:05d}"])) for i in range(12)]]
+    seen = []
+    plain = L.LineIndex._probed_by_shard
+    monkeypatch.setattr(L.LineIndex, "_probed_by_shard", lambda self, p: seen.append((p.count(), plain(self, p))) or seen[-1][1])
+    assert got(L.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_lines(rows)
+    every, passed = seen[0][0], seen[0][1].count()
+    assert len(seen) == 1 and 0 < passed < every  # lines of one document meet no filter
+
+
+def test_an_index_grows_by_parts(spark, monkeypatch):
+    monkeypatch.setattr(L, "PARTS", 3)
+    monkeypatch.setattr(L, "SHARD_KEYS", 4)
+    rows = [(i, "\n".join(f"a line that is long enough {k}" for k in range(i % 5, 9))) for i in range(24)]
+    index, parts = L.LineIndex(spark), []
+    for at in range(0, 24, 4):
+        index = index.insert(spark.createDataFrame(rows[at:at + 4], "doc_id long, text string"))
+        parts.append(index.parts)
+    assert max(parts) == 3 and parts.count(1) > 1 and index.shards > 1  # written anew, and dealt to more shards
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    once = L.LineIndex(spark).insert(table)
+    assert got(index.counts.select("key", "n_docs", "owner")) == got(once.counts.select("key", "n_docs", "owner"))
+    assert got(L.line_dedup(table, index=index)) == brute_lines(rows)
+
+
+def test_a_full_shard_is_built_anew(spark):
+    keys = [hashlib.blake2b(str(i).encode(), digest_size=16).digest() for i in range(60)]
+    table = lambda k, into: spark.createDataFrame([(bytearray(x), into) for x in k], "key binary, into boolean")
+    small = L.CuckooFilter.of(keys[:4])
+    old = spark.createDataFrame([(0, small.buckets, bytearray(small.slots.tobytes()))], "shard long, buckets long, slots binary")
+    built = L.update_filters(old, table(keys[4:], True), table(keys, True), 1).collect()
+    f = L.CuckooFilter(built[0].buckets, bytes(built[0].slots))
+    assert len(built) == 1 and f.buckets > small.buckets
+    assert f.holds(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)).all()
+
+
 def test_cuckoo_filter():
     keys = [hashlib.blake2b(str(i).encode(), digest_size=16).digest() for i in range(3000)]
     f = L.CuckooFilter.of(keys[:2000])
@@ -167,7 +244,111 @@ def test_warc_of_a_page_id_with_several_payloads(spark):
                   key=str) == sorted(want, key=str)
 
 
+def test_warc_reads_by_bytes_and_cleans_up(spark, monkeypatch):
+    """A payload of many frames' size, bundles that roll over, and as many
+    read tasks as the compressed bytes ask for."""
+    monkeypatch.setattr(warc, "READ_BYTES", 40_000)
+    r = random.Random(8)
+    noise = lambda n: "".join(chr(r.randint(33, 126)) for _ in range(n))
+    rows = [(i, "u", noise(3000)) for i in range(150)] + [(500, "u", noise(700_000)), (501, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = new_folder(spark, "warc")
+    index = warc.write_archive(pages, folder, frame_bytes=10_000, bundle_bytes=60_000)
+    frames = index.select("bundle", "frame", "frame_bytes").distinct().collect()
+    assert len({f.bundle for f in frames}) > 3 and max(f.frame_bytes for f in frames) > 400_000
+    back = warc.read_records(index, folder)
+    assert back.rdd.getNumPartitions() == -(-sum(f.frame_bytes for f in frames) // 40_000) > 5
+    assert {x.page_id: bytes(x.payload).decode() for x in back.collect()} == {i: h or "" for i, _, h in rows}
+    gone = []
+    monkeypatch.setattr(warc, "remove_at_exit", lambda spark, folder: gone.append(folder))
+    assert warc.archive_round_trip(pages).count() == len(rows) and len(gone) == 1 and "/warc-" in gone[0]
+    assert warc.archive_round_trip(pages, folder + "-kept").count() == len(rows) and len(gone) == 1
+
+
 # -- 4
+def brute_replies(rows):
+    """turn -> parent by the written rules, passages as text: a message
+    replies to the latest earlier first writer of its outermost passages, whole
+    paragraphs before lines before sentences, else to the turn before it."""
+    import re
+
+    flat = lambda t: " ".join(re.findall(r"\w+", t.casefold()))
+
+    def parts(text):
+        runs, out = [], []
+        for line in text.split("\n"):
+            m = re.match(r"[ \t]*((?:>[ \t]?)*)", line)
+            level, rest = m[1].count(">"), line[m.end():] if m[1] else line
+            if not rest.strip():
+                runs.append(None)
+            elif runs and runs[-1] and runs[-1][0] == level:
+                runs[-1][1].append(rest)
+            else:
+                runs.append((level, [rest]))
+        for level, lines in filter(None, runs):
+            whole = " ".join(lines)
+            out += [(level, 0, flat(whole))] + [(level, 1, flat(x)) for x in lines]
+            out += [(level, 2, flat(x)) for x in re.split(r"(?<=[.!?])\s+", whole)]
+        return {p for p in out if p[2]}
+
+    first, parent, turns = {}, {}, sorted({t for t, _ in rows})
+    every = {t: set().union(*[parts(x) for u, x in rows if u == t]) for t in turns}
+    for t in turns:
+        for level, grain, key in every[t]:
+            if not level:
+                first[grain, key] = min(t, first.get((grain, key), t))
+    for n, t in enumerate(turns):
+        found = [(-level, -grain, first[grain, key]) for level, grain, key in every[t]
+                 if level and first.get((grain, key), t) < t]
+        parent[t] = max(found)[2] if found else (turns[n - 1] if n else None)
+    return parent
+
+
+def test_quotes_against_brute_force(spark):
+    """Planted quotes: whole, of one sentence, wrapped anew, nested; and
+    quotes that nobody wrote."""
+    r, rows = random.Random(11), []
+    for conv in range(25):
+        said = []
+        for turn in range(r.randint(3, 9)):
+            own = " ".join(f"Word{r.randint(0, 60)} and word{r.randint(0, 60)} go to place{r.randint(0, 400)}{r.choice('.!?')}"
+                           for _ in range(r.randint(1, 4)))
+            text = own
+            if said and r.random() < 0.8:
+                _, source = r.choice(said)
+                sentences = source.replace("! ", "!|").replace("? ", "?|").replace(". ", ".|").split("|")
+                kind = r.randint(0, 4)
+                if kind == 0:
+                    quoted = [source]
+                elif kind == 1:
+                    quoted = [r.choice(sentences)]
+                elif kind == 2:  # wrapped anew
+                    words = source.split(" ")
+                    cut = r.randint(1, max(1, len(words) - 1))
+                    quoted = [" ".join(words[:cut]), " ".join(words[cut:])]
+                elif kind == 3:
+                    quoted = ["> " + r.choice(sentences).upper(), sentences[-1]]
+                else:
+                    quoted = [f"nobody wrote this {turn}"]
+                text = "\n".join("> " + q for q in quoted if q) + "\n" + own
+            said.append((turn, own))
+            rows.append((conv, turn, "user", text))
+    want = {(c, t): p for c in range(25) for t, p in brute_replies([(t, x) for k, t, _, x in rows if k == c]).items()}
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(x.conv_id, x.turn): x.parent_turn for x in out} == want
+    jumps = [1 for (c, t), p in want.items() if p is not None and p != t - 1]
+    assert len(jumps) > 25 and any(x.n_linked < x.n_quotes for x in out)
+
+
+def test_quotes_of_a_long_text(spark):
+    long = " ".join(f"Sentence number {k} of a long text." for k in range(20000))
+    rows = [(1, 0, "user", long), (1, 1, "user", "short"), (1, 2, "user", "> Sentence number 19999 of a long text.\nYes"),
+            (1, 3, "user", "> > " * 500 + "deep\n" + "> short")]
+    out = {x.turn: x for x in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+           .collect()}
+    assert {t: x.parent_turn for t, x in out.items()} == {0: None, 1: 0, 2: 0, 3: 1} and out[3].max_level == 1000
+
+
 def test_quotes(spark):
     rows = [(1, 0, "user", "First point.\n\nSecond point!"), (1, 1, "assistant", "> second  POINT\nAgreed."),
             (1, 2, "user", "Ann wrote:\n> > Second point!\n> Agreed.\nThanks"), (1, 3, "user", "> nobody said this\nHm"),
@@ -220,34 +401,15 @@ def test_bpe_random_texts_appends_and_edits():
 
 
 # -- 6
-def test_lm_score(spark, docs, none):
-    marked = docs.select("doc_id", "text", (F.col("doc_id") == 7).alias("target")).fillna(False)
-    words, pairs = 64, 128
-    model = lm_score.fit(marked, words, pairs)
-    rows = {(r.doc_id, r.n_tokens): r for r in lm_score.score(docs, model).collect()}
-    kind = lambda w: 1 + xxhash.xxh64_intdigest(w, lm_score.SEED) % (words - 1)
-    slot = lambda v, w: ((v * lm_score._STRIDE + w) * lm_score._STRIDE >> 13) % pairs
-    sums = [{}, {}]
-    for i, t in ROWS:
-        seq = [0] + [kind(w) for w in (t or "").lower().encode().split()]
-        for k in (0, 1) if i == 7 else (0,):
-            for v, w in zip(seq, seq[1:]):
-                for key in (("p", slot(v, w)), ("c", v), ("w", w), "n"):
-                    sums[k][key] = sums[k].get(key, 0) + 1
-    seq = [0] + [kind(w) for w in ROWS[7][1].encode().split()]
-    loss = []
-    for s in sums:
-        each = [-np.log(0.5 * min(1, s.get(("p", slot(v, w)), 0) / s[("c", v)]) + 0.5 * (s.get(("w", w), 0) + 1) / (s["n"] + words))
-                for v, w in zip(seq, seq[1:])]
-        loss.append(np.mean(each))
-    assert np.allclose([rows[7, 7].background_loss, rows[7, 7].target_loss], loss)
-    assert rows[2, 0].score == 0 and rows[1, 0].score == 0 and rows[7, 7].score < 0
-    assert got(lm_score.score(none, model)) == []
-
-
-def test_lm_score_counts_words_and_pairs_by_themselves(spark, docs, none):
-    labels = spark.createDataFrame([(7, 1, 0), (5, 1, 0), (11, 1, 0), (10, 0, 0), (4, 1, 1)],
-                                   "doc_id long, quality int, toxic int")
+@pytest.mark.parametrize("bounds", [{}, {"BLOCK": (5, 3), "WORD_GROUP": 7, "PAIR_GROUP": 40, "MARKED": 1},
+                                    {"BLOCK": (1000, 2), "PAIR_GROUP": 50, "KNOWN": 0}, {"BLOCK": (9, 9), "key_bytes": lambda words: 1}])
+def test_lm_score_counts_words_and_pairs_by_themselves(spark, docs, none, monkeypatch, bounds):
+    """Also with tiny blocks and groups, marked ids that are joined, every
+    word spread, and hashes of 7 bits, some of which collide."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(lm_score, name, value)
+    labels = spark.createDataFrame([(7, 1, 0), (7, 1, 0), (5, 1, 0), (11, 1, 0), (10, 0, 0), (4, 1, 1), (8, 1, 0), (8, 0, 0),
+                                    (None, 1, 0), (9, None, None)], "doc_id long, quality int, toxic int")
     good = {5, 7, 11}
     texts = [(i, [b"", *(t or "").encode().lower().split()]) for i, t in ROWS]
     pair, context, word = ([Counter(), Counter()] for _ in range(3))
@@ -267,7 +429,7 @@ def test_lm_score_counts_words_and_pairs_by_themselves(spark, docs, none):
         n = len(seq) - 1
         loss = [sum(-np.log(p(k, v, w)) for v, w in zip(seq, seq[1:])) / max(n, 1) for k in (1, 0)]
         want.append((i, n, *loss, loss[0] - loss[1]))
-    out = lm_score.cross_entropy_difference(docs, labels)
+    out = lm_score.cross_entropy_difference(docs.repartition(3), labels)
     assert out.columns == ["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
     key = lambda r: (str(r[0]), r[1], round(r[2], 6))
     rows, want = sorted(map(tuple, out.collect()), key=key), sorted(want, key=key)
@@ -277,6 +439,18 @@ def test_lm_score_counts_words_and_pairs_by_themselves(spark, docs, none):
 
 
 # -- 7
+def test_exact_dedup_of_a_digest_past_the_heavy_ones(spark):
+    """With two digests split off, the third hottest is joined, not held."""
+    text = lambda i: "abc"[0 if i % 10 < 5 else 1 if i % 10 < 8 else 2] if i % 4 else f"own {i}"
+    rows = [(i, text(i)) for i in range(2000)]
+    out = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), k=2, tracked=8)
+    groups = Counter(t for _, t in rows)
+    last = {t: i for i, t in rows}
+    assert got(out.select("doc_id", "keep_id", "group_size", "kept")) == sorted(
+        [(i, last[t], groups[t], last[t] == i) for i, t in rows], key=str)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("k", [1, 512])
 def test_exact_dedup(docs, none, k):
     text = [(i, t or "") for i, t in ROWS]
@@ -416,6 +590,19 @@ def test_packing_query_takes_added_tokens_as_the_library_does(spark, docs):
     assert got(QUERIES["op10_packing"](spark, sf).select("doc_id", "start", "length", "ids_crc32")) == sorted(want, key=str)
 
 
+def test_buckets(spark, docs):
+    folder = new_folder(spark, "buckets")
+    packed = packing.pack(docs, TOKENIZER)
+    packing.write_buckets(packed, folder)
+    back = packing.read_buckets(spark, folder)
+    assert got(back) == got(packed.select(*back.columns)) and len({r.length for r in back.select("length").distinct().collect()}) > 4
+    for n in (1, 8, 2048):
+        one = packing.read_buckets(spark, folder, n)
+        assert got(one) == got(packed.where(F.col("length") == n).select(*back.columns))
+        files = [f for f in one.inputFiles() if f"/bucket={n.bit_length() - 1}/" in f]
+        assert files and len(one.inputFiles()) >= len(files)
+
+
 # -- all
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -436,16 +623,63 @@ def test_pipeline_against_brute_force(spark):
 
 def test_stages_take_odd_rows(spark, docs, none):
     own = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    model = quality.train(own, spark.read.parquet(f"{SF}/labels.parquet"))
+    texts = lambda rows: sorted(((i, t or "") for i, t in rows), key=str)
+    want = {"quality": [(i, t) for i, t in ROWS if model.score((t or "").encode()) >= 0.5],
+            "line_dedup": [(i, t) for i, t, *_ in brute_lines(ROWS)],
+            # of equal texts one row, the smallest id's; the row without an id
+            # has a text of its own
+            "near_dedup": [(1, None), *[r for r in ROWS if r[0] in (4, 5, 7, 10, 11, 12, 13)], ROWS[5], ROWS[10]]}
     for name, stage in corpus_pipeline.STAGES:
-        for d in (own, own.limit(0)):
-            out = stage(spark, d, SF)
-            assert out.count() >= 0 and (name == "packing" or out.columns == own.columns)
+        out = stage(spark, own, SF)
+        empty = stage(spark, own.limit(0), SF)
+        assert empty.columns == out.columns and empty.count() == 0
+        if name == "packing":
+            lib = library()
+            pieces = [(i, *p[:2]) for i, t in ROWS for p in slow_pieces(lib.encode_ordinary(t or "") + [1]) if i != 13]
+            assert got(out.where("doc_id is null or doc_id <> 13").select("doc_id", "start", "length")) == sorted(pieces, key=str)
+        else:
+            assert out.columns == own.columns
+            assert texts((r.doc_id, r.text) for r in out.collect()) == texts(want[name]), name
+
+
+def near_rows(spark, rows, names="doc_id long, text string, _gone long, fp string, row int"):
+    return spark.createDataFrame([(*r, 1, "x", 2) for r in rows], names)
+
+
+def test_one_of_each_loses_no_text(spark):
+    a, b = "one two three four five six seven", "entirely different words stand in this other text"
+    pick = lambda rows: sorted([(r.doc_id, r.text) for r in simhash.one_of_each(near_rows(spark, rows)).collect()], key=str)
+    assert pick([(1, a), (5, a), (5, b), (1, a)]) == [(1, a), (5, b)]
+    assert pick([(None, a), (None, a), (None, b)]) == sorted([(None, a), (None, b)], key=str)
+    assert pick([(None, a), (7, a), (None, b)]) == sorted([(7, a), (None, b)], key=str)
+    # of equal ids and fingerprints the smallest text stays
+    assert pick([(3, a.upper()), (3, a), (3, None), (3, "")]) == sorted([(3, a.upper()), (3, None)], key=str)
+    assert pick([]) == []
+    out = simhash.one_of_each(near_rows(spark, [(1, a), (1, a)]))
+    assert out.columns == ["doc_id", "text", "_gone", "fp", "row"] and got(out) == [(1, a, 1, "x", 2)]
+
+
+def test_a_doc_id_with_two_texts_joins_nothing(spark):
+    a, b = "one two three four five six seven", "entirely different words stand in this other text"
+    rows = simhash.simhash_near_dedup(near_rows(spark, [(1, a), (5, a), (5, b), (9, b), (None, b)])).collect()
+    assert sorted([(r.doc_id, r.fingerprint == f"{slow_fingerprint(a):016x}", r.component_id) for r in rows], key=str) == sorted(
+        [(1, True, 1), (5, True, 1), (5, False, 5), (9, False, 5), (None, False, 5)], key=str)
+
+
+def test_rows_without_an_id_link_what_is_near_to_them(spark, monkeypatch):
+    """A chain a - x - b, of which x has no doc_id, is one component."""
+    prints = {b"a": 0b0, b"x": 0b11, b"b": 0b1111, b"far": 1 << 40 | 1 << 50 | 1 << 60}
+    fps = spark.createDataFrame([(1, 0), (None, 3), (2, 15), (3, prints[b"far"])], "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: fps)
+    assert got(simhash.simhash_near_dedup(fps).select("doc_id", "component_id")) == sorted(
+        [(1, 1), (None, 1), (2, 1), (3, 3)], key=str)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     res = con.execute(ORACLE_SQL[name])
     cols = [d[0] for d in res.description]
