@@ -69,3 +69,11 @@ def remove_folder(spark: SparkSession, folder: str) -> bool:
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(path, True))
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the files below ``folder``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(path).getLength())

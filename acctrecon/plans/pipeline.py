@@ -21,15 +21,23 @@ from pyspark.sql import types as T
 
 from acctrecon.operators import allocate, attach, cascade, classify, combine, locations, reports
 from acctrecon.operators import roster as roster_ops
-from acctrecon.plans.cut import materialize, remove_folder, run_folder
-from acctrecon.plans.layout import LAYOUT, write_stage
+from acctrecon.plans.cut import folder_bytes, materialize, remove_at_exit, remove_folder, run_folder
+from acctrecon.plans.layout import FOLDERS, LAYOUT, copartition, write_stage
+from acctrecon.plans.versions import StageTable, Version
 from acctrecon.schemas import DEFAULT_REPORT_DATE
 
+#: A master list of at least this many bytes is bucketed by merchant for its
+#: readers: it is written once more, and dealt out once instead of per reader.
+COPARTITION_BYTES = 1 << 30
+#: Bytes of a bucket's file, about.
+BUCKET_BYTES = 64 << 20
+
 
 class Reconciliation:
     def __init__(self, payments: DataFrame, accounts: DataFrame, locations: DataFrame,
                  roster: DataFrame, report_date: str = DEFAULT_REPORT_DATE, *,
-                 strict_merchant_ids: bool = False, cut: bool = True):
+                 strict_merchant_ids: bool = False, cut: bool = True,
+                 copartition_bytes: int = COPARTITION_BYTES, bucket_bytes: int = BUCKET_BYTES):
         self.payments = payments
         self.accounts = accounts
         self.locations = locations
@@ -37,6 +45,8 @@ class Reconciliation:
         self.report_date = report_date
         self.strict_merchant_ids = strict_merchant_ids
         self.cut = cut
+        self.copartition_bytes, self.bucket_bytes = copartition_bytes, bucket_bytes
+        self._tables: list[str] = []
         # without cuts the later stages' plans grow out of hand, so a missing
         # folder is an error; ``cut=False`` is for single early stages
         self._folder = run_folder(payments.sparkSession) if cut else None
@@ -49,8 +59,11 @@ class Reconciliation:
     def close(self) -> None:
         """Remove this run's cut files.  Call it once every result read
         from this object has been written or collected."""
+        spark = self.payments.sparkSession
+        while self._tables:
+            spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
         if self._folder is not None:
-            remove_folder(self.payments.sparkSession, self._folder)
+            remove_folder(spark, self._folder)
 
     def __enter__(self) -> "Reconciliation":
         return self
@@ -63,9 +76,20 @@ class Reconciliation:
     def facts(self) -> DataFrame:
         return attach.attach_by_name(self.payments, self.accounts)
 
+    @cached_property
+    def facts_by_month(self) -> DataFrame:
+        """S1 as a table with a folder for each month."""
+        if self._folder is None:
+            return self.facts
+        spark, path = self.payments.sparkSession, f"{self._folder}/facts"
+        write_stage(self.facts, path, partition_by=FOLDERS["facts"])
+        remove_at_exit(spark, self._folder)
+        # a month is text, though the folder's name reads like a number
+        return spark.read.schema(self.facts.schema).parquet(path).select(*self.facts.columns)
+
     @cached_property
     def report_month(self) -> DataFrame:
-        return attach.report_month(self.facts, self.report_date)
+        return attach.report_month(self.facts_by_month, self.report_date)
 
     @cached_property
     def active_locations(self) -> DataFrame:
@@ -85,7 +109,7 @@ class Reconciliation:
 
     @cached_property
     def unmatched_store(self) -> DataFrame:
-        return classify.unmatched_store(self.facts, self.store_stats, self.report_date)
+        return classify.unmatched_store(self.facts, self.store_stats, self.active_locations, self.report_date)
 
     @cached_property
     def multi_location(self) -> DataFrame:
@@ -104,6 +128,24 @@ class Reconciliation:
     def master_list(self) -> DataFrame:
         return self._cut(self._build_master_list(), "master_list")
 
+    @cached_property
+    def master_parts(self) -> list[DataFrame]:
+        """The master list as its readers by merchant take it: whole, or once
+        it is large, bucketed by merchant with hot merchants apart."""
+        master = self.master_list
+        if self._folder is None:
+            return [master]
+        spark = self.payments.sparkSession
+        size = folder_bytes(spark, f"{self._folder}/master_list")
+        if size < self.copartition_bytes:
+            return [master]
+        buckets = max(2, -(-size // self.bucket_bytes))
+        table = f"acctrecon_master_{self._folder.rsplit('/', 1)[-1]}"
+        self._tables.append(table)
+        # a key of more rows than a bucket's share is hot
+        return copartition(master, "merchant", table=table, path=f"{self._folder}/master_parts", buckets=buckets,
+                           most=max(1, master.count() // buckets))
+
     # S8-S11: the customer cascade ----------------------------------------------
     @cached_property
     def roster_backfilled(self) -> DataFrame:
@@ -113,34 +155,31 @@ class Reconciliation:
     def roster_merchant_ids(self) -> DataFrame:
         return roster_ops.roster_merchant_ids(self.roster, strict=self.strict_merchant_ids)
 
-    def _build_exact_roster_match(self) -> DataFrame:
-        return cascade.exact_roster_match(self.master_list, self.roster, self.roster_backfilled)
-
-    @cached_property
-    def exact_roster_match(self) -> DataFrame:
-        return self._cut(self._build_exact_roster_match(), "exact_roster_match")
-
     @cached_property
     def parent_locations(self) -> DataFrame:
         return cascade.parent_locations(self.roster, self.roster_backfilled)
 
-    def _build_parent_studio_match(self) -> DataFrame:
-        return cascade.parent_studio_match(self.master_list, self.parent_locations,
-                                           self.exact_roster_match)
+    @cached_property
+    def cascade(self) -> cascade.Cascade:
+        levels = cascade.customer_levels(self.roster, self.roster_backfilled, self.parent_locations,
+                                         self.roster_merchant_ids, cut=self._cut)
+        return cascade.match_cascade(self.master_parts, levels, cut=self._cut)
+
+    @cached_property
+    def exact_roster_match(self) -> DataFrame:
+        return self.cascade["exact_roster_match"]
 
     @cached_property
     def parent_studio_match(self) -> DataFrame:
-        return self._cut(self._build_parent_studio_match(), "parent_studio_match")
+        return self.cascade["parent_studio_match"]
 
     @cached_property
     def merchant_id_match(self) -> DataFrame:
-        return cascade.merchant_id_match(self.master_list, self.roster_merchant_ids,
-                                         self.parent_studio_match)
+        return self.cascade["merchant_id_match"]
 
     @cached_property
     def catch_all(self) -> DataFrame:
-        return cascade.catch_all(self.master_list, self.roster_merchant_ids,
-                                 self.exact_roster_match, self.parent_studio_match)
+        return self.cascade["catch_all"]
 
     # S12-S14: allocation -------------------------------------------------------
     @cached_property
@@ -149,7 +188,7 @@ class Reconciliation:
 
     @cached_property
     def settled_targets(self) -> DataFrame:
-        return allocate.settle_targets(self.even_distribution)
+        return allocate.settle_targets(self.even_distribution, of=self.parent_studio_match)
 
     @cached_property
     def exclusive_location(self) -> DataFrame:
@@ -172,15 +211,21 @@ class Reconciliation:
         """Stage ``name`` as a final result: everything it reads is cut as
         usual, but a cut stage is not written only to be read straight back
         when nothing downstream will reuse it."""
+        if name in ("exact_roster_match", "parent_studio_match"):
+            return self.cascade.build(name)
         build = getattr(self, f"_build_{name}", None)
         return build() if build is not None else getattr(self, name)
 
-    def write(self, name: str, path: str) -> None:
-        """Rebuild stage ``name`` as a table at ``path``, distributed and
-        sorted as ``layout.LAYOUT`` says (stages it does not list: as they
-        come)."""
+    def write(self, name: str, root: str, *, cluster: bool = False, files: int | None = None) -> Version:
+        """Rebuild stage ``name`` as the table at ``root`` (``StageTable``),
+        distributed and sorted as ``layout.LAYOUT`` says (stages it does not
+        list: as they come).  Readers see the old version until the new one
+        is complete, and keep it if the rebuild fails.  With ``cluster`` its
+        files hold ranges of the sort columns."""
         distribute_by, sort_by = LAYOUT.get(name, ((), ()))
-        write_stage(self.result(name), path, distribute_by=distribute_by, sort_by=sort_by)
+        table = StageTable(self.payments.sparkSession, root)
+        return table.rebuild(self.result(name), distribute_by=distribute_by, sort_by=sort_by,
+                             partition_by=FOLDERS.get(name, ()), cluster=cluster, files=files)
 
     @cached_property
     def multi_keys(self) -> DataFrame:
@@ -192,7 +237,7 @@ class Reconciliation:
 
     @cached_property
     def merged_mappings(self) -> DataFrame:
-        return combine.merged_mappings(self.all_mappings, self.multi_keys)
+        return combine.merged_mappings(self.all_mappings, self.multi_keys, cut=self._cut)
 
     @cached_property
     def final_list(self) -> DataFrame:
@@ -201,11 +246,11 @@ class Reconciliation:
     # reports -------------------------------------------------------------------
     @cached_property
     def unmatched_report(self) -> DataFrame:
-        return reports.unmatched_report(self.all_mappings, self.master_list)
+        return reports.unmatched_report(self.all_mappings, self.master_parts)
 
     @cached_property
     def unmatched_by_reason(self) -> DataFrame:
-        return reports.unmatched_by_reason(self.all_mappings, self.master_list)
+        return reports.unmatched_by_reason(self.all_mappings, self.master_parts)
 
     @cached_property
     def accounts_in_locations(self) -> DataFrame:

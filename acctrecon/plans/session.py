@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans are designed for.  AQE re-plans at every
 # shuffle boundary: it turns a sort-merge join into a broadcast when the
@@ -32,10 +34,35 @@ PIPELINE_CONF = {
 }
 
 
-def apply_runtime_conf(spark: SparkSession) -> None:
+#: Bytes that a shuffle partition starts with, about (adaptive execution then
+#: joins small ones), and partitions, at most.
+START_BYTES, MOST_PARTITIONS = 128 << 20, 1 << 15
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size of what ``df`` reads: its files' bytes, times the
+    factor for compression."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def start_partitions(input_bytes: int, least: int) -> int:
+    """Shuffle partitions to start with for an input of ``input_bytes``."""
+    return max(least, min(MOST_PARTITIONS, -(-input_bytes // START_BYTES)))
+
+
+def apply_runtime_conf(spark: SparkSession, inputs: Iterable[DataFrame] = ()) -> None:
     """Set those of the runtime SQL settings above that the session has
-    otherwise.  They stay set: results are lazy and planned later."""
-    for k, v in RUNTIME_SQL_CONF.items():
+    otherwise, and start shuffles with as many partitions as the largest of
+    ``inputs`` asks for (a fixed number would leave a large input with
+    partitions of hundreds of GB).  They stay set: results are lazy and
+    planned later."""
+    settings = dict(RUNTIME_SQL_CONF)
+    sizes = [planned_bytes(df) for df in inputs]
+    if sizes:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            start_partitions(max(sizes), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    for k, v in settings.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
 
