@@ -33,16 +33,17 @@ def test_write_stage_is_idempotent_and_sorted(spark):
 def test_rebuilt_stage_has_its_layout(spark):
     from acctrecon import Reconciliation
     from acctrecon.plans.layout import LAYOUT
+    from acctrecon.plans.versions import StageTable
     from acctrecon.sources import FIXTURE_REPORT_DATE, fixture_inputs
 
     path = os.path.join(tempfile.mkdtemp(prefix="acctrecon-layout-"), "master")
     with Reconciliation(**fixture_inputs(spark, "/root/testdata/sf0.001"), report_date=FIXTURE_REPORT_DATE) as rec:
-        assert all(isinstance(getattr(type(rec), stage, None), object) for stage in LAYOUT)
-        rec.write("master_list", path)
-        assert spark.read.parquet(path).count() == rec.master_list.count() > 0
-    keys = [k for f in glob.glob(os.path.join(path, "*.parquet"))[:1]
+        assert not [stage for stage in LAYOUT if not hasattr(type(rec), stage)]
+        version = rec.write("master_list", path)
+        assert StageTable(spark, path).read().count() == rec.master_list.count() > 0
+    keys = [k for f in glob.glob(os.path.join(path, "data", version.name, "*.parquet"))[:1]
             for k in pq.read_table(f).column("merchant").to_pylist() if k is not None]
-    assert keys == sorted(keys)
+    assert keys and keys == sorted(keys)
 
 
 def test_layout_names_stages_and_their_columns(spark):

@@ -1,0 +1,369 @@
+"""SC1, SC4-SC6, S2 and A8: ingest with rejected rows, rebuilds that readers
+survive, co-partitioned cuts, files that lookups leave out, months that are
+not listed, and lists that no single row collects."""
+
+import contextlib
+import io
+import json
+import os
+import random
+import re
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from acctrecon import Reconciliation
+from acctrecon.operators import combine
+from acctrecon.operators.attach import report_month
+from acctrecon.operators.reports import unmatched_by_reason, unmatched_report
+from acctrecon.plans.cut import materialize
+from acctrecon.plans.layout import copartition, write_clustered, write_stage
+from acctrecon.plans.session import MOST_PARTITIONS, apply_runtime_conf, planned_bytes, start_partitions
+from acctrecon.plans.versions import StageTable
+from acctrecon.sources import FIXTURE_REPORT_DATE, fixture_inputs, ingest_accounts, ingest_report
+from tests.helpers import frames, random_inputs
+
+SF = "/root/testdata/sf0.001"
+
+
+def _folder():
+    return tempfile.mkdtemp(prefix="acctrecon-tables-")
+
+
+def _plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def _tree(df):
+    """The physical plan as (depth, node) lines, top first."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    out = []
+    for ln in text.split("== Initial Plan ==")[-1].splitlines():
+        m = re.match(r"[\s:|+\-]*(?:\*\(\d+\) )?", ln)
+        out.append((m.end() if "*(" not in m[0] else m[0].index("*"), ln[m.end():]))
+    return out
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+# -- SC1
+# the interface's fixed column names
+HEADER = ("Account Name,Account ID,Enabled Date,Store ID,Store Password,Contacts Name,Currency,"
+          "Sales Region,Service User Number,Processing Type,Related CC Account")
+LINES = [
+    "Shop Ünë,1,2020-01-02 10:42:23.0,ST-1,secret-1,Person One,CAD,CAN,,CC,",
+    '"Shop, ""Two""",2,07:08.9,ST-2,"secret-2, with comma",Person,GBP,UK,77,DD,1; 9',
+    "short,3,2020-01-02 10:42:23.0,ST-3,secret-3,Person Three,CAD",
+    "long,4,2020-01-02 10:42:23.0,ST-4,secret-4,Person Four,CAD,CAN,,CC,,secret-more",
+    '"open,5,2020-01-02 10:42:23.0,ST-5,secret-5,Person Five,CAD,CAN,,CC,',
+    "shifted,2020-01-02 10:42:23.0,ST-6,secret-6,Person Six,CAD,CAN,,CC,",
+    "no-id,none,2020-01-02 10:42:23.0,ST-7,secret-7,Person Seven,CAD,CAN,,CC,",
+    "secret-8", "", "last,9,,ST-9,secret-9,Person Nine,,,,CC,",
+]
+
+
+def _file(text, name="accounts.csv"):
+    folder = _folder()
+    with open(os.path.join(folder, name), "wb") as f:
+        f.write(text)
+    return folder
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_damaged_rows_are_kept_apart(spark, end):
+    path = _file(b"\xef\xbb\xbf" + end.join([HEADER, *LINES]).encode() + end.encode())
+    folder = _folder() + "/out"
+    accounts, rejected = ingest_accounts(spark, path, folder=folder)
+    assert _rows(accounts.select("account_name", "account_id", "store_id", "related_account")) == sorted([
+        ("Shop Ünë", 1, "ST-1", None), ('Shop, "Two"', 2, "ST-2", "1; 9"), ("no-id", None, "ST-7", None),
+        ("last", 9, "ST-9", None)], key=str)
+    assert {r.account_id for r in accounts.where("enabled_date is null").collect()} == {2, 9}
+    assert _rows(rejected) == sorted([
+        ("accounts.csv", "too few fields", 7, ""),
+        ("accounts.csv", "too many fields", 12, "long,4,2020-01-02 10:42:23.0,ST-4"),
+        ("accounts.csv", "quote without end", 11, '"open,5,2020-01-02 10:42:23.0,ST-5'),
+        ("accounts.csv", "too few fields", 10, "shifted,2020-01-02 10:42:23.0,ST-6"),
+        ("accounts.csv", "too few fields", 1, "")], key=str)
+    assert dict(_rows(ingest_report(accounts, rejected))) == {
+        "too few fields": 3, "too many fields": 1, "quote without end": 1, "enabled date unreadable": 2,
+        "account id unreadable": 1}
+    # nothing of the two columns is in what was written
+    for top, _, files in os.walk(folder):
+        for f in files:
+            raw = spark.read.parquet(f"{folder}").collect() if f.endswith(".parquet") else []
+            assert not any("secret" in str(r) or "Person" in str(r) for r in raw), top
+
+
+def test_an_empty_account_file(spark):
+    for text in (b"", HEADER.encode()):
+        accounts, rejected = ingest_accounts(spark, _file(text))
+        assert accounts.count() == rejected.count() == ingest_report(accounts, rejected).count() == 0
+        assert accounts.columns[:3] == ["account_name", "account_id", "enabled_date"]
+
+
+# -- S2 / F3
+def test_other_months_are_not_read(spark):
+    path = _folder() + "/facts"
+    facts = spark.createDataFrame([(f"{y}{m:02d}", i) for i, (y, m) in enumerate(
+        [(y, m) for y in (1997, 1998) for m in (5, 6, 7)] * 3)] + [("garbage", 99)], "month string, v int")
+    write_stage(facts, path, partition_by=["month"])
+    read = lambda: spark.read.schema(facts.schema).parquet(path)
+    out = report_month(read(), "1998-06-01")
+    plan = _plan(out)
+    assert re.search(r"PartitionFilters: \[.*month.* = 199806\)?", plan), plan
+    # the other months' files can even be damaged
+    for month in ("199805", "199706", "garbage"):
+        for f in os.listdir(f"{path}/month={month}"):
+            if f.endswith(".parquet"):
+                with open(f"{path}/month={month}/{f}", "wb") as g:
+                    g.write(b"no parquet")
+    assert [str(r.reportdate) for r in report_month(read(), "1998-06-01").collect()] == ["1998-06-01"]
+    assert report_month(read(), "1999-06-01").collect() == []
+    assert report_month(facts, "1998-06-02").collect() == []       # a month means its first day
+    assert len(report_month(facts, "1998-06-01").collect()) == 1   # "garbage" is no error
+
+
+def test_the_report_month_query_lists_one_month(spark):
+    plan = _plan(E.queries()["report_month"](spark, SF))
+    assert re.search(r"PartitionFilters: \[.*month.* = 199806\)?", plan), plan
+
+
+# -- SC4
+def test_readers_survive_a_failed_rebuild(spark):
+    table = StageTable(spark, _folder() + "/stage")
+    assert table.current() is None
+    with pytest.raises(ValueError, match="no such version"):
+        table.read()
+    one = spark.range(10).withColumn("m", F.concat(F.lit("M"), F.col("id") % 3))
+    assert table.rebuild(one, distribute_by=["m"], sort_by=["m"]).number == 1
+    reader = table.read()
+    broken = one.withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("a stage fails"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="a stage fails"):
+        table.rebuild(broken)
+    assert table.current().number == 1 and table.read().count() == 10
+    assert len(os.listdir(f"{table.root}/data")) == 1              # nothing of the failure is left
+    assert table.rebuild(one.where("id < 4")).number == 2
+    # a reader that began before keeps its files, others see the new ones
+    assert reader.count() == 10 and table.read().count() == 4 and table.read(1).count() == 10
+
+
+def test_rebuilds_that_end_together_both_count(spark, monkeypatch):
+    table = StageTable(spark, _folder() + "/stage")
+    table.rebuild(spark.range(1))
+    # another process took number 2 between the look at the log and the commit
+    names = table._names
+    monkeypatch.setattr(table, "_names", lambda below: [n for n in names(below) if not n.endswith("2.json")]
+                        if below == "log" else names(below))
+    with open(f"{table.root}/log/{2:012d}.json", "w") as f:
+        json.dump({"version": "theirs", "cluster_by": []}, f)
+    assert table.rebuild(spark.range(3)).number == 3
+    monkeypatch.undo()
+    assert [v.number for v in table.log()] == [1, 2, 3] and table.read().count() == 3
+
+
+def test_old_versions_are_collected(spark):
+    table = StageTable(spark, _folder() + "/stage")
+    for n in range(1, 5):
+        table.rebuild(spark.range(n), sort_by=["id"], cluster=True, files=2)
+    os.makedirs(f"{table.root}/data/left-by-a-lost-driver")
+    with open(f"{table.root}/log/{9:012d}.json", "w") as f:
+        f.write('{"version": ')                                   # its writer was cut off
+    gone = table.collect_garbage(keep=2)
+    assert len(gone) == 3 and "left-by-a-lost-driver" in gone
+    assert [table.read(n).count() for n in (3, 4)] == [3, 4] and table.read().count() == 4
+    assert len(os.listdir(f"{table.root}/data")) == len(os.listdir(f"{table.root}/stats")) == 2
+    with pytest.raises(ValueError, match="no such version"):
+        table.read(1)
+
+
+def test_a_stage_is_rebuilt_with_its_layout(spark):
+    root = _folder()
+    with Reconciliation(**fixture_inputs(spark, SF), report_date=FIXTURE_REPORT_DATE) as rec:
+        assert rec.write("master_list", f"{root}/master").number == 1
+        rec.write("facts", f"{root}/facts")
+        rows = rec.master_list.count()
+        facts = rec.facts.count()
+    assert StageTable(spark, f"{root}/master").read().count() == rows > 0
+    back = StageTable(spark, f"{root}/facts")
+    assert back.read().count() == facts
+    folders = [d for d in os.listdir(f"{root}/facts/data/{back.current().name}") if d.startswith("month=")]
+    assert len(folders) > 3
+
+
+# -- SC6
+def test_a_lookup_reads_few_files(spark):
+    r = random.Random(3)
+    rows = [(f"M{r.randint(0, 999):04d}", r.randint(1, 50) if r.random() > .05 else None, i) for i in range(8000)]
+    rows += [("M0500", 7, 10000 + i) for i in range(2000)]        # a hot key spreads over files
+    df = spark.createDataFrame(rows, "merchant string, studio int, v int")
+    table = StageTable(spark, _folder() + "/stage")
+    table.rebuild(df, sort_by=["merchant", "studio"], cluster=True, files=40)
+    every = len(table.read().inputFiles())
+    assert every >= 35
+    for key in (rows[0][:2], rows[77][:2], ("M0999", None), ("none", 1)):
+        found = table.lookup({"merchant": key[0], "studio": key[1]})
+        assert _rows(found) == sorted([x for x in rows if x[:2] == key], key=str)
+        assert len(found.inputFiles()) < every / 10 or not found.count()
+    hot = table.lookup({"merchant": "M0500", "studio": 7})
+    assert hot.count() == sum(x[:2] == ("M0500", 7) for x in rows) and len(hot.inputFiles()) > 3
+    # a column that the files are not clustered by filters rows alone
+    assert table.lookup({"v": 3}).count() == 1
+
+
+def test_clustered_files_hold_ranges(spark):
+    path = _folder() + "/c"
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("int").alias("k"))
+    write_clustered(df, path, cluster_by=["k"], files=8)
+    ends = sorted((r.a, r.b) for r in spark.read.parquet(path).groupBy(F.col("_metadata.file_name"))
+                  .agg(F.min("k").alias("a"), F.max("k").alias("b")).collect())
+    assert len(ends) >= 6 and all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
+
+
+# -- SC5
+def test_hot_keys_are_kept_apart(spark):
+    df = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 100 == 1, F.lit(None))
+                                 .otherwise(F.concat(F.lit("M"), F.col("id") % 200)).alias("merchant"), "id")
+    path = _folder()
+    df.write.parquet(f"{path}/all")
+    df = spark.read.parquet(f"{path}/all")
+    cold, apart = copartition(df, "merchant", table="copart_test", path=f"{path}/parts", buckets=4, most=20)
+    assert {r.merchant for r in apart.select("merchant").distinct().collect()} == {"hot", None}
+    assert cold.where("merchant = 'hot' or merchant is null").count() == 0
+    assert _rows(cold.unionByName(apart)) == _rows(df)
+    assert "Exchange" not in cold.groupBy("merchant").count()._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE copart_test")
+
+
+def _exchanges_above(df, table):
+    """Exchanges between each scan of ``table`` and the first join above it."""
+    tree, out = _tree(df), []
+    for i, (depth, node) in enumerate(tree):
+        if "Scan parquet" in node and table in node:
+            found, d = 0, depth
+            for up, above in reversed(tree[:i]):
+                if up < d:
+                    d = up
+                    if "Join" in above:
+                        break
+                    found += above.startswith("Exchange")
+            out.append((found, "Bucketed: true" in node))
+    return out
+
+
+def test_readers_of_the_master_list_need_no_exchange(spark):
+    """S10, S11 and R1 read the bucketed master list without an exchange on
+    merchant; results are those of the plain one."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold")}
+    inputs = fixture_inputs(spark, "/root/testdata/sf0.01")
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        rec = Reconciliation(**inputs, report_date=FIXTURE_REPORT_DATE, copartition_bytes=0, bucket_bytes=20_000)
+        assert len(rec.master_parts) == 2 and rec.master_parts[0].count() and rec.master_parts[1].count()
+        table = rec._tables[0]
+        for plan in (rec.cascade.left_for("merchant_id_match"), rec.catch_all,
+                     unmatched_report(rec.all_mappings, rec.master_parts)):
+            found = _exchanges_above(plan, table)
+            assert found and all(n == 0 and bucketed for n, bucketed in found), found
+        plain = Reconciliation(**inputs, report_date=FIXTURE_REPORT_DATE)
+        assert len(plain.master_parts) == 1
+        for stage in ("catch_all", "merchant_id_match", "final_list", "unmatched_report"):
+            assert _rows(getattr(rec, stage)) == _rows(getattr(plain, stage)), stage
+        assert _rows(unmatched_by_reason(rec.all_mappings, rec.master_parts)) == _rows(plain.unmatched_by_reason)
+        assert spark.catalog.tableExists(table)
+        rec.close()
+        assert not spark.catalog.tableExists(table)
+        plain.close()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+# -- A8 / C9
+@pytest.mark.parametrize("run", [1 << 16, 4])
+def test_lists_are_joined_in_order(spark, run, monkeypatch):
+    monkeypatch.setattr(combine, "COPIES", 3)
+    r = random.Random(1)
+    rows = [(g, None if g == "none" or r.random() < .1 else f"m{r.randint(0, 30)}", r.randint(0, 9), h)
+            for g in ["a"] * 60 + ["b"] * 5 + ["none"] * 4 + [None] * 8 for h in (1, None)]
+    df = spark.createDataFrame(rows, "g string, who string, n int, h int").repartition(6)
+    folder, cuts = _folder(), []
+    cut = lambda d, name: cuts.append(name) or materialize(d, name, folder)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"          # small partitions are left apart
+    spark.conf.set(key, "false")
+    try:
+        out = combine.merge_groups(df, ["g", "h"], ["n"], "who", separator="|", run=run, cut=cut)
+    finally:
+        spark.conf.set(key, "true")
+    want = []
+    for key in {(g, h) for g, _, _, h in rows}:
+        mine = [x for x in rows if (x[0], x[3]) == key]
+        who = sorted(x[1] for x in mine if x[1])
+        want.append((*key, sum(x[2] for x in mine), "|".join(who) or None))
+    assert _rows(out.select("g", "h", "n", "who")) == sorted(want, key=str)
+    assert ("merge_runs" in cuts) == (run == 4)
+    assert "collect_list" not in _plan(out)
+    if run == 4:
+        tasks = materialize(spark.read.parquet(f"{folder}/merge_dealt"), "again", folder)
+        assert tasks.where("g = 'a' and h = 1").select("_task").distinct().count() > 1
+
+
+def test_branches_of_any_number(spark):
+    inputs = frames(spark, *random_inputs(2))
+    rec = Reconciliation(**inputs, report_date="1998-06-01", cut=False)
+    s9 = rec.parent_studio_match
+    one = combine.union_branches([(s9, 77)])
+    three = combine.union_branches([(s9, 1), (s9.limit(0), 2), (s9, F.col("roster_status"))])
+    n = s9.count()
+    assert one.count() == n and {r.map for r in one.collect()} <= {77}
+    assert {r.map: r["count"] for r in three.groupBy("map").count().collect()} == ({1: n, 8: n} if n else {})
+    with pytest.raises(ValueError, match="no branch"):
+        combine.union_branches([])
+
+
+def test_repeated_keys_under_other_names(spark):
+    df = spark.createDataFrame([("f", 1), ("f", 1), ("f", 2), (None, 1), (None, 1), ("h", None), ("h", None), ("h", 0)],
+                               "firm string, site int")
+    out = combine.multi_keys(df, must="firm", may="site", absent=-1)
+    assert _rows(out) == [("f", 1, 1), ("h", None, -1)]
+
+
+# -- settings
+def test_shuffles_start_with_partitions_by_input(spark):
+    assert start_partitions(0, 8) == 8 and start_partitions(100 << 40, 200) == MOST_PARTITIONS
+    assert start_partitions(1 << 40, 200) == 8192
+    payments = fixture_inputs(spark, SF)["payments"]
+    # its files, not the product that a join's estimate is
+    assert planned_bytes(payments) < 10_000_000
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    old = spark.conf.get(key, None)
+    try:
+        apply_runtime_conf(spark, [payments])
+        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+# -- the entry without the training-data package
+@pytest.mark.parametrize("missing", ["acctrecon.llm", "zstandard", "corpus_pipeline"])
+def test_the_entry_works_without_what_only_llm_needs(missing):
+    import subprocess
+    import sys
+
+    code = ("import sys, importlib.abc\n"
+            "class No(importlib.abc.MetaPathFinder):\n"
+            f"    def find_spec(self, name, path=None, target=None):\n"
+            f"        if name == {missing!r}: raise ModuleNotFoundError('gone', name=name)\n"
+            "sys.meta_path.insert(0, No())\n"
+            "import __spark_entry__ as E\n"
+            "print(E.llm is None, len(E.queries()), len(E.oracle_sql()))\n")
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=here, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == ["True", "28", "28"], out.stderr

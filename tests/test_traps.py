@@ -131,7 +131,92 @@ def test_merchant_id_divisor_counts_pairs(spark):
         "source_file string")
     mids = spark.createDataFrame([(REPORT, "M1", 1, 1), (REPORT, "M1", 1, 2), (PREV, "M1", 1, 3)],
                                  "as_of date, roster_mid string, studioid int, locationid int")
-    none = spark.createDataFrame([], "merchant string")
-    rows = merchant_id_match(master, mids, none).collect()
+    rows = merchant_id_match(master, mids).collect()
     assert len(rows) == 4 and {float(r.txn_volume) for r in rows} == {2.0}
     assert {(r.payment_status, r.location_status, r.revenue_logic) for r in rows} == {(None, None, None)}
+
+
+# One case for each of the remaining traps -------------------------------------
+def _rec(spark, payments, accounts, locations=(), roster=()):
+    return Reconciliation(**frames(spark, payments, accounts, list(locations), list(roster)), report_date=REPORT.isoformat())
+
+
+def _of(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+def _pay(name, merchant, vol=10, rev=1, month="199806", cur="CAD"):
+    return (month, name, merchant, "A", cur, vol, 1, rev, 1)
+
+
+def test_all_months_are_stamped_with_the_report_month(spark):
+    """T1: the report month is found, and filters nothing."""
+    rec = _rec(spark, [_pay("a", "M1"), _pay("a", "M1", 20, month="199706"), _pay("b", "M2", month="199905")],
+               [("a", 1, "S1"), ("b", 2, "S2")])
+    with rec:
+        assert _of(rec.report_month, "reportdate") == [(REPORT,)]
+        assert _of(rec.master_list, "reportdate", "merchant", "txn_volume") == sorted([
+            (REPORT, "M1", decimal.Decimal("10.0000")), (REPORT, "M1", decimal.Decimal("20.0000")),
+            (REPORT, "M2", decimal.Decimal("10.0000"))], key=str)
+
+
+def test_one_catch_all_row_keeps_its_label(spark):
+    """T4: a single catch-all row leaves as 13, two as 14."""
+    accounts = [("a", 1, "S1"), ("b", 2, "S2")]
+    with _rec(spark, [_pay("a", "M1")], accounts) as rec:
+        assert _of(rec.final_list, "merchant", "map", "roster_studioid") == [("M1", Status.CATCH_ALL, 123456789)]
+    with _rec(spark, [_pay("a", "M1"), _pay("b", "M2")], accounts) as rec:
+        assert _of(rec.final_list, "merchant", "map") == [("M1", Status.MERGED), ("M2", Status.MERGED)]
+
+
+def test_blank_merchant_ids_match(spark):
+    """T7: a blank roster id is an id, and meets a blank merchant; NULL is none."""
+    roster = [(1, REPORT, 5, 1, None, ""), (2, REPORT, 6, 2, None, None), (3, REPORT, 7, 3, None, "M1")]
+    with _rec(spark, [_pay("a", ""), _pay("b", "M9")], [("a", 1, "S1"), ("b", 2, "S2")], roster=roster) as rec:
+        assert _of(rec.merchant_id_match, "merchant", "roster_studioid", "roster_locationid") == [("", 5, 1)]
+        assert _of(rec.catch_all, "merchant") == [("M9",)]
+
+
+def test_equal_payments_of_two_months_are_one_row(spark):
+    """T8: the month is not carried, so they collapse; both are counted."""
+    with _rec(spark, [_pay("a", "M1"), _pay("a", "M1", month="199706")], [("a", 1, "S1")], [(1, 1, "x", "S1")]) as rec:
+        assert _of(rec.master_list, "storeid", "location_status") == [("S1", Status.MULTI_LOCATION)]
+        assert _of(rec.multi_location, "storeid", "n_matches") == [("S1", 2), ("S1", 2)]
+
+
+def test_levels_exclude_by_different_keys(spark):
+    """T12: the merchant-id level does not exclude the exact one's merchants,
+    and a merchant with a matched store takes its unmatched one along."""
+    accounts, place = [("a", 1, "S1"), ("b", 2, "S2")], [(1, 1, "x", "S1")]
+    with _rec(spark, [_pay("a", "M1")], accounts, place, [(1, REPORT, 1, 1, None, "M1")]) as rec:
+        assert _of(rec.all_mappings, "merchant", "map") == [("M1", Status.MERCHANT_ID), ("M1", Status.SINGLE_MATCHED)]
+    with _rec(spark, [_pay("a", "M1"), _pay("b", "M1", 7)], accounts, place, [(1, REPORT, 1, 1, None, None)]) as rec:
+        assert _of(rec.exact_roster_match, "storeid") == [("S1",)]
+        assert _of(rec.catch_all, "storeid") == []          # S2 is in no level at all
+        assert _of(rec.final_list, "storeid", "map") == [("S1", Status.SINGLE_MATCHED)]
+
+
+def test_location_zero_becomes_null(spark):
+    """T14: a NULL parent location is 0 and NULL again; a real 0 is NULL too."""
+    accounts, places = [("a", 1, "S1"), ("b", 2, "S2")], [(1, 5, "x", "S1"), (2, 7, "y", "S2")]
+    roster = [(1, REPORT, 1, None, None, None), (2, REPORT, 2, 0, None, None)]
+    with _rec(spark, [_pay("a", "M1"), _pay("b", "M2")], accounts, places, roster) as rec:
+        assert _of(rec.parent_studio_match, "merchant", "roster_studioid", "roster_locationid") == [("M1", 1, 0), ("M2", 2, 0)]
+        assert _of(rec.all_mappings, "merchant", "roster_studioid", "roster_locationid", "map") == [
+            ("M1", 1, None, Status.EXCLUSIVE_PARENT), ("M2", 2, None, Status.EXCLUSIVE_PARENT)]
+
+
+def test_two_stores_of_one_location_stay_two_rows(spark):
+    """T15: merged rows are grouped by store too."""
+    with _rec(spark, [_pay("a", "M1"), _pay("b", "M2", 5), _pay("b", "M3", 4)], [("a", 1, "S1"), ("b", 2, "S2")],
+              [(1, 1, "x", "S1"), (1, 1, "y", "S2")], [(1, REPORT, 1, 1, None, None)]) as rec:
+        got = [(s, m, float(v), k) for s, m, v, k in _of(rec.final_list, "storeid", "merchant", "txn_volume", "map")]
+        assert got == [("S1", "M1", 10.0, Status.MERGED), ("S2", "M2,M3", 9.0, Status.MERGED)]
+
+
+def test_payments_without_activity_are_dropped(spark):
+    """T16: 0 and 0, 0 and NULL, NULL and 0 are no activity; NULL and 5 is."""
+    pays = [_pay("a", "M1", 0, 0), _pay("a", "M2", 0, None), _pay("a", "M3", None, 0), _pay("a", "M4", None, None),
+            _pay("a", "M5", None, 5), _pay("a", "M6", -1, 0)]
+    with _rec(spark, pays, [("a", 1, "S1")]) as rec:
+        assert _of(rec.catch_all, "merchant") == [("M5",), ("M6",)]
