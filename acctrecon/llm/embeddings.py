@@ -26,10 +26,10 @@ from acctrecon.llm.common import batches, cut, rows_of
 from acctrecon.llm.components import components
 
 COSINE = 0.98
-#: Vectors that the centroids are fitted on, at most; vectors planned for a
-#: cell; cells, at most.
+#: Vectors that the centroids are fitted on, at most; vectors of one label
+#: planned for a cell; cells, at most.
 SAMPLE = 8192
-CELL = 4096
+CELL = 256
 CELLS = 512
 ROUNDS = 10
 #: Bounds of a block's rows; between them it is the mean group's size.
@@ -83,13 +83,16 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
-def fit_cells(units: DataFrame, n: int) -> dict[int, np.ndarray]:
-    """Centroids for each dimension found in a sample of ``SAMPLE`` rows."""
+def fit_cells(units: DataFrame) -> dict[int, np.ndarray]:
+    """Centroids for each dimension found in a sample of ``SAMPLE`` rows; so
+    many that a cell has ``CELL`` vectors of the largest label, as vectors are
+    compared within labels, but two of them at least."""
+    largest = units.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
     got = units.orderBy(F.xxhash64("same"), "same").limit(SAMPLE).select("dim", "unit").collect()
     by: dict[int, list] = {}
     for r in got:
         by.setdefault(r.dim, []).append(np.frombuffer(r.unit))
-    k = min(CELLS, max(1, -(-n // CELL)), SAMPLE // 16)
+    k = min(CELLS, max(2, -(-largest // CELL)), SAMPLE // 16)
     return {d: spherical_kmeans(np.array(v), min(k, len(v))) for d, v in by.items()}
 
 
@@ -102,17 +105,32 @@ def placed(units: DataFrame, cells: dict[int, np.ndarray], cosine: float) -> Dat
     schema = pa.schema([("part", pa.string()), ("visit", pa.int32()), ("node", pa.int64()),
                         ("copies", pa.int64()), ("unit", pa.binary())])
 
+    def dealt_to(dim, held):
+        x = np.frombuffer(b"".join([r[4] for r in held])).reshape(len(held), dim)
+        y = x @ cells[dim].T
+        home = y.argmax(axis=1)
+        gap = y[np.arange(len(x)), home][:, None] - y
+        visits = (gap <= reach * apart[dim][home] + 1e-6) & (np.arange(y.shape[1]) < home[:, None])
+        for (node, label, _, copies, unit), h, row in zip(held, home.tolist(), visits):
+            yield f"{dim}|{h}|{label}", 0, node, copies, unit
+            for c in np.flatnonzero(row).tolist():
+                yield f"{dim}|{c}|{label}", 1, node, copies, unit
+
     def run(stream):
         def rows():
-            for node, label, dim, copies, unit in rows_of(stream):
-                if dim not in cells:
-                    yield f"{dim}|0|{label}", 0, node, copies, unit
+            held: dict[int, list] = {}
+            for row in rows_of(stream):
+                if row[2] not in cells:
+                    yield f"{row[2]}|0|{row[1]}", 0, row[0], row[3], row[4]
                     continue
-                y = cells[dim] @ np.frombuffer(unit)
-                h = int(y.argmax())
-                yield f"{dim}|{h}|{label}", 0, node, copies, unit
-                for c in np.flatnonzero(y[h] - y[:h] <= reach * apart[dim][h, :h] + 1e-6):
-                    yield f"{dim}|{c}|{label}", 1, node, copies, unit
+                same = held.setdefault(row[2], [])
+                same.append(row)
+                if len(same) == 512:
+                    yield from dealt_to(row[2], same)
+                    same.clear()
+            for dim, same in held.items():
+                if same:
+                    yield from dealt_to(dim, same)
         yield from batches(rows(), schema, lambda r: len(r[4]) + 96)
 
     return (units.select("node", "label", "dim", "copies", "unit")
@@ -209,7 +227,7 @@ def embedding_near_dedup(vectors: DataFrame, *, cosine: float = COSINE) -> DataF
                 .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"),
                      F.first("dim").alias("dim"), F.first("unit").alias("unit"))
                 .withColumn("node", F.monotonically_increasing_id()), "units")
-    cells = fit_cells(units, units.count())
+    cells = fit_cells(units)
     found = cut(compared(dealt(placed(units, cells, cosine)), cosine), "found")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("node").alias("a"), F.col("star").alias("b")))
