@@ -165,7 +165,8 @@ def one_of_each(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = BITS) ->
     # rows are told apart by their doc_id alone, but for those that repeat it
     again = cut(ids.where("doc_id is null or n > 1").select(F.col("doc_id").alias("_again")), "again")
     whole = docs.select(F.col("doc_id").alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    gone = ids.where("n > 1 or not stays").select(F.col("doc_id").alias("_gone"))
+    # a table of its own, so that its size is known before the texts are read
+    gone = cut(ids.where("n > 1 or not stays").select(F.col("doc_id").alias("_gone")), "gone")
     out = whole.where("id is not null").join(gone, F.col("id") == F.col("_gone"), "left_anti").select("row.*")
     if again.isEmpty():
         return out
