@@ -14,27 +14,30 @@ while it is cached.
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import add
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctrecon.llm.bpe import Bounded, grouped, ship
+from acctrecon.llm.bpe import Bounded, grouped, packed, ship
 from acctrecon.llm.common import BATCH_BYTES, rows_of, utf8
 
-#: Entries of a worker's caches of words and of token pairs; a full cache
-#: starts afresh.
-CACHE = 1 << 18
-#: Longer words are not cached.
-SHORT = 48
+#: Entries of a worker's cache of words (some 200 bytes each), and of half as
+#: many token pairs; a full cache starts afresh.
+CACHE = 1 << 19
+#: Longer words are not cached, nor longer ones that end in punctuation.
+SHORT, FEW = 48, 8
+#: Characters of a word whose last tokens are kept for words that begin alike.
+HEAD = 6
 #: The library's mark of a space, and what it writes for the unknown token
 #: and for a byte that is no text (fixed values).
 SPACE = "▁"
@@ -45,11 +48,54 @@ _LINES = re.compile(r"\n|[^\n]+")
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
+class State:
+    """A state of the automaton: the longest end of the text read that some
+    spelling begins with.  ``out`` has the tokens that end there, the longest
+    first, as (token, length)."""
+
+    __slots__ = ("next", "fail", "out")
+
+    def __init__(self):
+        self.next: dict[str, State] = {}
+        self.fail: State | None = None
+        self.out: tuple[tuple[int, int], ...] = ()
+
+
+def automaton(spellings: dict[str, int]) -> State:
+    """The start state for ``spellings`` (spelling -> token): a trie whose
+    states know where to go on when the next character doesn't follow."""
+    start = State()
+    for text, token in spellings.items():
+        at = start
+        for c in text:
+            at = at.next[c] if c in at.next else at.next.setdefault(c, State())
+        at.out = ((token, len(text)),)
+    level = [start]
+    while level:
+        below = []
+        for at in level:
+            for c, to in at.next.items():
+                back = at.fail
+                while back is not None and c not in back.next:
+                    back = back.fail
+                to.fail = start if back is None else back.next[c]
+                to.out += to.fail.out
+                below.append(to)
+        level = below
+    return start
+
+
 class Words(Bounded):
-    """A cache that computes what it lacks and keeps short keys alone."""
+    """A cache that computes what it lacks.  It keeps short words, and of
+    those that are put together from others only very short ones, which recur."""
 
     def __missing__(self, key):
-        return super().__missing__(key) if len(key) <= SHORT else self.make(key)
+        value, plain = self.make(key)
+        if len(key) <= (SHORT if plain else FEW):
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
 
 
 class PieceTable:
@@ -67,6 +113,7 @@ class PieceTable:
         if model.encode_as_pieces("a  ﬁ b") != model.encode_as_pieces(f"a{SPACE}{SPACE}ﬁ{SPACE}b"):
             raise ValueError("the model changes its text before it encodes")
         self.spelling = [model.id_to_piece(i) for i in range(size)]
+        self.length = list(map(len, self.spelling))
         self.end, self.unknown = model.eos_id(), model.unk_id()
         self.byte = {i: int(_BYTE.fullmatch(self.spelling[i])[1], 16) for i in range(size) if model.is_byte(i)}
         if len(self.byte) != 256:
@@ -82,15 +129,13 @@ class PieceTable:
         made = {i: self._merged(self.spelling[i]) for i in plain}
         reached = [i for i in plain if len(made[i][0]) == 1]
         self.whole = {self.spelling[i]: np.array([i], "<i4").tobytes() for i in reached}
-        self.automaton = ahocorasick.Automaton()
-        for i in reached:
-            self.automaton.add_word(self.spelling[i], (i, len(self.spelling[i])))
-        self.automaton.make_automaton()
+        self.start = automaton({self.spelling[i]: i for i in reached})
         self.data = [b"" if i in self.control else bytes([self.byte[i]]) if i in self.byte
                      else (UNKNOWN if i == self.unknown else x.replace(SPACE, " ")).encode()
                      for i, x in enumerate(self.spelling)]
         self._trace({self.spelling[i]: made[i][1] for i in reached})
-        self.fits = Bounded(self._fits, 2 * cache)
+        self.fits = Bounded(self._fits, cache // 2)
+        self.heads = Bounded(self._head, cache // 8)
         self.word = Words(self._word, cache)
 
     def _merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
@@ -129,8 +174,8 @@ class PieceTable:
                 self.left[s] = [(s, math.inf), *grown(self.left[a])]
 
     def _fits(self, pair: int) -> bool:
-        """Whether two tokens stay as they are when their spellings are
-        encoded together."""
+        """Whether two tokens (first * number of tokens + second) stay as
+        they are when their spellings are encoded together."""
         a, b = divmod(pair, len(self.spelling))
         if a == self.unknown:
             return True
@@ -150,27 +195,55 @@ class PieceTable:
 
     def last_tokens(self, text: str) -> list[int]:
         """For each prefix of ``text`` (by length) its last token; characters
-        without a spelling have the unknown token."""
-        last, fits, size = [self.unknown] * (len(text) + 1), self.fits, len(self.spelling)
-        found = -1
-        for end, (token, length) in self.automaton.iter(text):
-            if end != found:
-                start = end + 1 - length
-                if not start or fits[last[start] * size + token]:
-                    last[end + 1] = token
-                    found = end
-        return last
-
-    def _word(self, word: str) -> bytes:
-        """Packed ids of a word with the marks before it."""
+        without a spelling have the unknown token.  Entries of a prefix depend
+        on it alone, so those of the first characters are kept."""
+        if len(text) <= HEAD:
+            return self._read(text, self.start, [self.unknown])[1]
+        state, last = self.heads[text[:HEAD]]
+        return self._read(text[HEAD:], state, last.copy())[1]
+
+    def _head(self, text: str) -> tuple[State, list[int]]:
+        return self._read(text, self.start, [self.unknown])
+
+    def _read(self, text: str, state: State, last: list[int]) -> tuple[State, list[int]]:
+        """Read on from ``state``, with the last tokens of the prefixes that
+        led there: the new state, and the tokens with those of ``text``."""
+        fits, start, size, unknown, end = self.fits, self.start, len(self.spelling), self.unknown, len(last) - 1
+        for c in text:
+            end += 1
+            to = state.next.get(c)
+            while to is None and state is not start:
+                state = state.fail
+                to = state.next.get(c)
+            if to is None:
+                last.append(unknown)
+                continue
+            state = to
+            for token, length in to.out:
+                if length == end or fits[last[end - length] * size + token]:
+                    last.append(token)
+                    break
+            else:
+                last.append(unknown)
+        return state, last
+
+    def _word(self, word: str) -> tuple[bytes, bool]:
+        """Packed ids of a word with the marks before it, and whether they
+        come from the table and not from other words."""
         whole = self.whole.get(word)
         if whole is not None:
-            return whole
+            return whole, True
         if self.breaks and "\n" in word and word != "\n":
-            return b"".join([self.word[x] for x in _LINES.findall(word)])
-        if 1 < len(word) <= SHORT and word[-2:] not in self.touch:
-            return self.word[word[:-1]] + self.word[word[-1]]
-        last, out, at = self.last_tokens(word), [], len(word)
+            return b"".join([self.word[x] for x in _LINES.findall(word)]), False
+        if len(word) > SHORT:
+            # text without spaces: cut it wherever nothing can merge
+            inside = map(self.touch.__contains__, map(add, word, word[1:]))
+            cuts = [0, *[k for k, joined in enumerate(inside, 1) if not joined], len(word)]
+            if len(cuts) > 2:
+                return b"".join([self.word[word[a:b]] for a, b in zip(cuts, cuts[1:])]), False
+        elif len(word) > 1 and word[-2:] not in self.touch:
+            return self.word[word[:-1]] + self.word[word[-1]], False
+        last, out, at, length = self.last_tokens(word), [], len(word), self.length
         while at:
             token = last[at]
             if token == self.unknown:
@@ -178,8 +251,9 @@ class PieceTable:
                 at -= 1
             else:
                 out.append(token)
-                at -= len(self.spelling[token])
-        return np.array(out[::-1], "<i4").tobytes()
+                at -= length[token]
+        out.reverse()
+        return packed(out), True
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, without an end id, as little-endian 32-bit
@@ -231,28 +305,28 @@ def _from_bytes(data: bytes) -> str:
 @lru_cache(maxsize=1)
 def _table(name: str, cache: int) -> PieceTable:
     """One table for a worker, kept over its tasks."""
-    return PieceTable(SparkFiles.get(name), cache)
-
-
-def _lists(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    """(doc_id, packed ids) or (doc_id, packed ids, text) rows as a batch."""
-    offsets = np.concatenate([[0], np.cumsum([len(r[1]) // 4 for r in held])]).astype(np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join([r[1] for r in held]), "<i4")))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in held], pa.int64()), ids, *[pa.array([r[k] for r in held], pa.string())
-                                                            for k in range(2, len(schema))]], schema=schema)
-
-
-def _batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for row in rows:
-        held.append(row)
-        size += 64 + len(row[1])
+    out = PieceTable(SparkFiles.get(name), cache)
+    gc.freeze()  # its many states need no look by the garbage collector
+    return out
+
+
+def _encoded(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """(doc_id, packed ids) rows in batches of bounded bytes."""
+    def batch():
+        offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed_ids])]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed_ids), "<i4")))
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), ids], schema=schema)
+
+    docs, packed_ids, size = [], [], 0
+    for doc, ids in rows:
+        docs.append(doc)
+        packed_ids.append(ids)
+        size += 64 + len(ids)
         if size >= BATCH_BYTES:
-            yield _lists(held, schema)
-            held, size = [], 0
-    if held:
-        yield _lists(held, schema)
+            yield batch()
+            docs, packed_ids, size = [], [], 0
+    if docs:
+        yield batch()
 
 
 def encode_documents(docs: DataFrame, model: str, *, cache: int = CACHE) -> DataFrame:
@@ -271,7 +345,7 @@ def encode_documents(docs: DataFrame, model: str, *, cache: int = CACHE) -> Data
     def run(stream):
         table = _table(name, cache)
         end = np.array([table.end], "<i4").tobytes()
-        yield from _batched(((i, table.encode(t.decode("utf-8", "replace")) + end)
+        yield from _encoded(((i, table.encode(t.decode("utf-8", "replace")) + end)
                              for held in grouped(rows_of(stream)) for i, t in held), schema)
 
     return (docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
@@ -289,7 +363,8 @@ def decode_documents(encoded: DataFrame, model: str, *, cache: int = CACHE) -> D
         for batch in stream:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                yield from _batched(((i, np.asarray(ids or [], "<i4").tobytes(), decode(ids or []))
-                                     for i, ids in zip(part["doc_id"].to_pylist(), part["ids"].to_pylist())), schema)
+                texts = [decode(ids or []) for ids in part["ids"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["ids"].cast(schema.field("ids").type),
+                                                  pa.array(texts, pa.string())], schema=schema)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
