@@ -118,7 +118,7 @@ def test_every_prefix_has_the_last_token_of_its_own_encoding(library, piece_tabl
     for text in ("▁unbelievabletion", "▁aaaaaaaaaaab", "▁▁▁▁▁▁x", "▁thththehehere"):
         last = piece_table.last_tokens(text)
         for n in range(1, len(text) + 1):
-            ids = np.frombuffer(piece_table._word(text[:n]), "<i4")
+            ids = np.frombuffer(piece_table._word(text[:n])[0], "<i4")
             assert last[n] == ids[-1]
 
 
