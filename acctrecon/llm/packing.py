@@ -49,7 +49,7 @@ class ChunkTokenizer:
     The string of an added token (<|endoftext|>) is text like any other, or
     with ``added`` that token, as the library has it by default."""
 
-    def __init__(self, path: str, cache: int = 4 * CACHE, added: bool = False):
+    def __init__(self, path: str, cache: int = 2 * CACHE, added: bool = False):
         # a task has one core: the library starts no threads of its own
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -107,7 +107,7 @@ def _tokenizer(name: str, cache: int, added: bool) -> ChunkTokenizer:
 
 
 def pack(docs: DataFrame, tokenizer: str, *, longest: int = LONGEST, end_id: int = END_ID,
-         cache: int = 4 * CACHE, added: bool = False) -> DataFrame:
+         cache: int = 2 * CACHE, added: bool = False) -> DataFrame:
     """Pieces of all rows of ``docs`` (doc_id, text): doc_id, start, length,
     ids (little-endian unsigned 32-bit), doc_tokens, bucket (log2 of length),
     sequence_id, offset (0).

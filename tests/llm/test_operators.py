@@ -580,6 +580,13 @@ def test_tokenizer_random_texts():
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_packing_worker_keeps_a_bounded_number_of_chunks():
+    own, n, letters = packing.ChunkTokenizer(TOKENIZER), 100_000, str.maketrans("0123456789", "abcdefghij")
+    for k in range(0, 8 * n, n):
+        own.encode([" ".join([str(10 ** 6 + k + i) for i in range(n)]).translate(letters)])
+        assert len(own.known) <= (1 << 19) + n
+
+
 def test_packing_query_takes_added_tokens_as_the_library_does(spark, docs):
     lib = Tokenizer.from_file(TOKENIZER)
     assert lib.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
