@@ -15,6 +15,8 @@ from acctrecon.plans.cut import checkpoint_root, ensure_checkpoint_dir, material
 
 #: Bytes of text that one Arrow batch yielded by a Python stage may stand for.
 BATCH_BYTES = 4 << 20
+#: Short rows (a few numbers) that one file of a cut is worth.
+FILE_ROWS = 1 << 18
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,8 +35,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read back."""
+def cut(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back.
+
+    With ``most``, a bound on its rows, which are short, it is written in one
+    file for each FILE_ROWS of them, or as many as tasks run at once: each file
+    costs a few calls of the file system, some of them processes of their own.
+    Only for what a grouping ends in, as the tasks of that step are joined."""
+    if most is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-most // FILE_ROWS)))
     return materialize(df, "rows", new_folder(df.sparkSession, name))
 
 

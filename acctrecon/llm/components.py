@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from acctrecon.llm.common import cut
 
 
-def _toward_minimum(pairs: DataFrame) -> DataFrame:
-    """pairs (u, v) with m, the smallest v of u."""
-    least = cut(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
+def _toward_minimum(pairs: DataFrame, most: int) -> DataFrame:
+    """pairs (u, v), at most ``most``, with m, the smallest v of u."""
+    least = cut(pairs.groupBy("u").agg(F.min("v").alias("m")), "least", most)
     return pairs.join(least.withColumnRenamed("u", "k"), F.col("u") == F.col("k"))
 
 
@@ -27,16 +27,17 @@ def components(edges: DataFrame) -> DataFrame:
     ignored; repeated edges count once; no edges give no rows."""
     cur = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
               .distinct(), "edges")
-    if not cur.isEmpty():
+    # no step makes more rows than twice the pairs it reads
+    if most := 2 * cur.count():
         while True:
             both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            large = cut(_toward_minimum(both).where("v > u")
-                        .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct(), "large")
-            near = _toward_minimum(large)
+            large = cut(_toward_minimum(both, most).where("v > u")
+                        .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct(), "large", most)
+            near = _toward_minimum(large, most)
             cur = cut(near.select(F.explode(F.array(
                 F.struct(F.col("u"), F.col("m").alias("v")),
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-                .select("e.u", "e.v").where("u <> v").distinct(), "small")
+                .select("e.u", "e.v").where("u <> v").distinct(), "small", most)
             roots = cur.select(F.col("v").alias("r")).distinct()
             if cur.join(roots, F.col("u") == F.col("r"), "left_semi").isEmpty():
                 break

@@ -87,11 +87,13 @@ def _tally(a, b):
     return sum((F.shiftrightunsigned(x, 8 * p).bitwiseAND(F.lit(0xFF)) == 0).cast("int") for p in range(8))
 
 
-def links(fps: DataFrame, bits: int = BITS, longest: int = LIST) -> DataFrame:
-    """Edges (a, b) between nodes of distinct fingerprints (fp, node) that
-    keep every link's ends connected; each edge lies within a component."""
+def links(fps: DataFrame, bits: int = BITS, longest: int = LIST, most: int | None = None) -> DataFrame:
+    """Edges (a, b) between nodes of distinct fingerprints (fp, node), of
+    which there are at most ``most``, that keep every link's ends connected;
+    each edge lies within a component."""
     postings = _postings(fps, bits)
-    lists = cut(postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lists")
+    lists = cut(postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "lists",
+                most and most * (bits + 1) * (bits + 2) // 4)
     shared = cut(postings.join(lists, "key"), "shared")
     short = (shared.where(F.col("n") <= longest).groupBy("key")
              .agg(F.sort_array(F.collect_list(F.struct("fp", "node"))).alias("p")))
@@ -121,7 +123,7 @@ def classified(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = BITS, lon
     if bits not in (2, 4):
         raise ValueError("bits is 2 or 4")
     rows = cut(fingerprints(docs, shingle), "fingerprints")
-    found = components(links(rows.select("fp", F.col("fp").alias("node")).distinct(), bits, longest))
+    found = components(links(rows.select("fp", F.col("fp").alias("node")).distinct(), bits, longest, rows.count()))
     return (rows.join(found, F.col("fp") == F.col("node"), "left")
             .select("doc_id", "fp", F.coalesce("component", "fp").alias("class")))
 
@@ -140,7 +142,7 @@ def simhash_near_dedup(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = B
     """
     rows = cut(classified(docs, shingle=shingle, bits=bits, longest=longest), "classes")
     # one row for each class, so that a large one is split by the join
-    least = cut(rows.groupBy("class").agg(F.min("doc_id").alias("component_id")), "least")
+    least = cut(rows.groupBy("class").agg(F.min("doc_id").alias("component_id")), "least", rows.count())
     return (rows.join(least.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class"))
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 

@@ -691,3 +691,21 @@ def test_oracle(spark, name):
     res = con.execute(ORACLE_SQL[name])
     cols = [d[0] for d in res.description]
     assert got(QUERIES[name](spark, SF).select(*cols)) == sorted(res.fetchall(), key=str)
+
+
+def test_rounds_over_few_rows_write_few_files(spark, monkeypatch):
+    """Many shuffle partitions make no more files than tasks run at once."""
+    import acctrecon.llm.common as common
+
+    folders = []
+    monkeypatch.setattr(common, "new_folder", lambda s, name: folders.append(new_folder(s, name)) or folders[-1])
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert {r.component for r in components(edges).collect()} == {0}
+        files = {f.rsplit("/", 1)[1].split("-")[0]: len(spark.read.parquet(f"{f}/rows").inputFiles()) for f in folders}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(files[x] for x in ("least", "large", "small")) <= spark.sparkContext.defaultParallelism
