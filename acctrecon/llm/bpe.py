@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import base64
 import re
+import string
 import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -35,8 +37,10 @@ SHORT = 64
 #: Unicode White_Space (fixed values).
 _WHITE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                            0x202F, 0x205F, 0x3000)))
-#: Each of these, alone after a word, is a piece of its own.
-MARKS = frozenset(".,;:!?")
+#: Chunks put together from others are cached up to this length.
+FEW = 8
+#: A run of these after a word is a piece of its own.
+PUNCTUATION = string.punctuation
 #: A space that the next white space or the end follows, and one with white
 #: space or an end on both sides: only there may a run of white space cross
 #: from one space-delimited chunk into the next.
@@ -56,34 +60,60 @@ def pattern():
     return regex.compile(p)
 
 
+def parts_of(chunk: str) -> tuple[str, ...]:
+    """The keys of a chunk's pieces, if it is a word, perhaps with punctuation
+    after it, or two such with a line break between them; else the chunk is
+    its own only key.  A key stands for its text with a space before it, and
+    one that has a space (no chunk has) for what comes after the space."""
+    head, line, tail = chunk.partition("\n")
+    word = head.rstrip(PUNCTUATION)
+    if not word.isalpha():
+        return (chunk,)
+    out = [word, f" {head[len(word):]}"] if len(word) < len(head) else [word]
+    if line:
+        word = tail.rstrip(PUNCTUATION)
+        if not word.isalpha():
+            return (chunk,)
+        out.append(f" \n{word}")
+        if len(word) < len(tail):
+            out.append(f" {tail[len(word):]}")
+    return tuple(out)
+
+
 def encode_texts(texts: list[str], known: Bounded, many) -> list[bytes]:
     """Packed ids of each text.  Texts are split before single spaces, in
     Arrow; each distinct chunk is looked up once, and ``many`` gives packed ids
-    for a list of texts that are not in ``known``."""
+    for a list of texts that are not in ``known``.  What chunks are put
+    together from is kept, and of these chunks only very short ones, which
+    recur."""
     whole = [crosses(t) for t in texts]
     parts = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()), " ")
     ends = parts.offsets.to_numpy()
     coded = parts.values.dictionary_encode()
     at = coded.indices.to_numpy().astype(np.int64)
     chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    if len(known) > known.most:
-        known.clear()
     ids = list(map(known.get, chunks))
     lack = [i for i, x in enumerate(ids) if x is None]
     if lack:
-        marked = [i for i in lack if chunks[i][-1:] in MARKS and chunks[i][:-1].isalpha()]
-        rest = set(lack).difference(marked)
-        basic = list({chunks[i] for i in rest} | ({chunks[i][:-1] for i in marked} - known.keys()))
-        new = dict(zip(basic, many([" " + c for c in basic])))
-        known.update((c, x) for c, x in new.items() if len(c) <= SHORT)
-        marks = dict(zip(MARKS, many(list(MARKS))))
-        for i in marked:
-            word = chunks[i][:-1]
-            ids[i] = (new.get(word) or known[word]) + marks[chunks[i][-1]]
-            if len(word) < SHORT:
-                known[chunks[i]] = ids[i]
-        for i in rest:
+        plain = [i for i in lack if chunks[i].isalpha()]
+        others = list(set(lack).difference(plain))
+        keys = [parts_of(chunks[i]) for i in others]
+        wanted = {chunks[i] for i in plain}.union(*keys)
+        new = {k: known[k] for k in wanted & known.keys()}
+        basic = list(wanted.difference(new))
+        new.update(zip(basic, many([k[1:] if k[:1] == " " else " " + k for k in basic])))
+        for i in plain:
             ids[i] = new[chunks[i]]
+        for i, of in zip(others, keys):
+            ids[i] = b"".join([new[k] for k in of])
+        more = {k: new[k] for k in basic if len(k) <= SHORT}
+        more.update((chunks[i], ids[i]) for i in lack if len(chunks[i]) <= FEW)
+        if len(known) + len(more) > known.most:
+            # full: it starts afresh, with what these texts have
+            known.clear()
+            more.update((c, x) for c, x in zip(chunks, ids) if len(c) <= FEW or len(c) <= SHORT and c.isalpha())
+            more.update((k, x) for k, x in new.items() if len(k) <= SHORT)
+        known.update(islice(more.items(), known.most))
     # a text's first chunk has no space before it; a text that must be split
     # as a whole is one chunk
     at[ends[:-1]] = len(ids) + np.arange(len(texts))

@@ -59,14 +59,14 @@ class ChunkTokenizer:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.known = Bounded(None, cache)
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
-        self.spaced[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith(space)]] = True
+        breaks = tuple(self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in " \n")
+        self.spaced[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith(breaks)]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text.  Words of letters with a space before
-        them go through in rows: each is one piece, and just its first token
-        begins with a space."""
-        words = [i for i, t in enumerate(texts) if t[:1] == " " and t[1:].isalpha() and len(t) <= SHORT]
+        """Packed ids of each text.  Words of letters with a space or a line
+        break before them go through in rows: a piece begins with the space,
+        or is the line break, so just the first token of each begins with it."""
+        words = [i for i, t in enumerate(texts) if t[:1] in (" ", "\n") and t[1:].isalpha() and len(t) <= SHORT]
         others = sorted(set(range(len(texts))).difference(words))
         out: list[bytes] = [b""] * len(texts)
         for i, e in zip(others, self._encoded([texts[i] for i in others])):

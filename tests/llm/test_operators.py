@@ -709,3 +709,26 @@ def test_rounds_over_few_rows_write_few_files(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(files[x] for x in ("least", "large", "small")) <= spark.sparkContext.defaultParallelism
+
+
+def test_words_at_line_ends_are_put_together(spark):
+    """Of 400 pairs of words with a line break between them the tokenizer
+    gets the words, and a full cache goes on with the words of the last texts."""
+    names = ["Berg", "mer", "été", "ocean", "ß", "文字", "sol", "Keit", "ly", "x"]
+    texts = ["a " + " ".join(f"{a}{m}\n{b}{n}" for a in names for b in names)
+             for m, n in [(".", ","), ("", "!?"), ("'", "***"), ("%", "")]]
+    library = Tokenizer.from_file(TOKENIZER)
+    asked = []
+
+    def many(wanted):
+        asked.extend(wanted)
+        return [bpe.packed(library.encode(t, add_special_tokens=False).ids) for t in wanted]
+
+    known = bpe.Bounded(None, 60)
+    for _ in range(3):
+        assert bpe.encode_texts(texts, known, many) == many(texts)
+        assert len(known) <= 60
+        del asked[-len(texts):]
+    assert len([t for t in asked if t != "a"]) < 60 and known.keys() >= set(names) - {"x"}
+    tokenizer = packing.ChunkTokenizer(TOKENIZER, 60)
+    assert tokenizer.encode(texts) == tokenizer.encode(texts) == many(texts)
