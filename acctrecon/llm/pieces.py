@@ -24,6 +24,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,14 +88,24 @@ def automaton(spellings: dict[str, int]) -> State:
 
 class Words(Bounded):
     """A cache that computes what it lacks.  It keeps short words, and of
-    those that are put together from others only very short ones, which recur."""
+    those that are put together from others only very short ones, which recur.
+    When half full it sets its words aside as old and drops those that were
+    old before; an old word that comes up is kept again."""
+
+    def __init__(self, make, most: int = CACHE):
+        super().__init__(make, most)
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, key):
-        value, plain = self.make(key)
-        if len(key) <= (SHORT if plain else FEW):
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = value
+        value = self.old.pop(key, None)
+        if value is None:
+            value, plain = self.make(key)
+            if len(key) > (SHORT if plain else FEW):
+                return value
+        if len(self) >= self.most // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -133,6 +144,11 @@ class PieceTable:
         self.data = [b"" if i in self.control else bytes([self.byte[i]]) if i in self.byte
                      else (UNKNOWN if i == self.unknown else x.replace(SPACE, " ")).encode()
                      for i, x in enumerate(self.spelling)]
+        self.texts = pa.array(self.data, pa.large_binary())
+        self.size = np.array(list(map(len, self.data)))
+        self.ends = np.isin(np.arange(size), list(self.control))
+        self.skip = np.array([x[:1] == SPACE and i not in self.control and i not in self.byte and i != self.unknown
+                              for i, x in enumerate(self.spelling)])
         self._trace({self.spelling[i]: made[i][1] for i in reached})
         self.fits = Bounded(self._fits, cache // 2)
         self.heads = Bounded(self._head, cache // 8)
@@ -288,6 +304,30 @@ class PieceTable:
                 out.append(self.data[i].decode())
         return "".join([*out, _from_bytes(bytes(held))])[skip:]
 
+    def decode_many(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """``decode`` of runs of ``counts`` ids.  All data are put together at
+        once; runs with bytes that are no text, or with control tokens before
+        their last, are decoded one by one."""
+        data = self.texts.take(pa.array(ids)).buffers()[2]
+        data = memoryview(data) if data else b""
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        at = np.concatenate([[0], np.cumsum(self.size[ids])])[upto].tolist()
+        ends = self.ends[ids]
+        before = np.concatenate([[0], np.cumsum(ends)])[upto].tolist()
+        upto, out = upto.tolist(), []
+        for k, (a, b) in enumerate(zip(upto, upto[1:])):
+            if a == b:
+                out.append("")
+                continue
+            text = None
+            if before[k + 1] - before[k] == ends[b - 1]:
+                try:
+                    text = str(data[at[k]:at[k + 1]], "utf-8")[int(self.skip[ids[a]]):]
+                except UnicodeDecodeError:
+                    pass
+            out.append(self.decode(ids[a:b].tolist()) if text is None else text)
+        return out
+
 
 def _from_bytes(data: bytes) -> str:
     """UTF-8 as text; each byte that is no text becomes U+FFFD."""
@@ -359,12 +399,13 @@ def decode_documents(encoded: DataFrame, model: str, *, cache: int = CACHE) -> D
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
 
     def run(stream):
-        decode = _table(name, cache).decode
+        decode = _table(name, cache).decode_many
         for batch in stream:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                texts = [decode(ids or []) for ids in part["ids"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["ids"].cast(schema.field("ids").type),
-                                                  pa.array(texts, pa.string())], schema=schema)
+                ids = part["ids"].cast(schema.field("ids").type)
+                counts = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)
+                texts = decode(ids.flatten().to_numpy(zero_copy_only=False), counts)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], ids, pa.array(texts, pa.string())], schema=schema)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

@@ -201,3 +201,27 @@ def test_dqds_keeps_the_digits_of_small_values():
     assert abs(np.log(found).sum() - np.log(a).sum()) < 1e-12
     inverse = np.linalg.inv(np.diag(a) + np.diag(b, 1))
     assert abs(found[-1] * np.linalg.norm(inverse, 2) - 1) < 1e-12
+
+
+def test_a_full_cache_of_words_keeps_those_that_come_up(spark):
+    made = []
+    words = pieces.Words(lambda w: (made.append(w) or w.encode(), True), 8)
+    for k in range(40):
+        assert words["often"] == b"often" and words[f"once{k}"] == f"once{k}".encode()
+        assert len(words) + len(words.old) <= 8
+    assert made.count("often") == 1 and len(made) == 41
+
+
+def test_runs_decoded_together_are_as_the_library_has_them(piece_table):
+    table = piece_table
+    model, rng = SentencePieceProcessor(model_file=PIECES), random.Random(7)
+    kinds = [*table.of_byte.values()] * 2 + [*sorted(table.control)] * 40 + [table.unknown] * 40
+    texts = [t or "" for t in TEXTS] + ["ab \U0001F600 c", "\U0001F600", " x", "▁▁a"]
+    runs = [[*model.encode(t), model.eos_id()] for t in texts] + [[], [table.end], [table.end] * 2]
+    runs += [[rng.choice(kinds) if rng.random() < 0.3 else rng.randrange(len(table.spelling)) for _ in range(rng.randrange(1, 12))]
+             for _ in range(3000)]
+    runs += [[table.of_byte[b] for b in "é".encode()], [table.of_byte[0xC3], table.end, table.of_byte[0xA9]]]
+    found = table.decode_many(np.array([i for r in runs for i in r], "<i4"), np.array(list(map(len, runs))))
+    assert found == [table.decode(r) for r in runs]
+    assert found == [model.decode(r) for r in runs]
+    assert table.decode_many(np.array([], "<i4"), np.array([0, 0])) == ["", ""]
