@@ -114,6 +114,7 @@ def encode_texts(texts: list[str], known: Bounded, many) -> list[bytes]:
             more.update((c, x) for c, x in zip(chunks, ids) if len(c) <= FEW or len(c) <= SHORT and c.isalpha())
             more.update((k, x) for k, x in new.items() if len(k) <= SHORT)
         known.update(islice(more.items(), known.most))
+        del keys, wanted, new, basic, more  # before the texts are put together
     # a text's first chunk has no space before it; a text that must be split
     # as a whole is one chunk
     at[ends[:-1]] = len(ids) + np.arange(len(texts))
