@@ -17,7 +17,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -80,53 +80,116 @@ def parts_of(chunk: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def encode_texts(texts: list[str], known: Bounded, many) -> list[bytes]:
-    """Packed ids of each text.  Texts are split before single spaces, in
-    Arrow; each distinct chunk is looked up once, and ``many`` gives packed ids
-    for a list of texts that are not in ``known``.  What chunks are put
+def without_tails(chunks: pa.LargeStringArray) -> tuple[list[str], np.ndarray]:
+    """The distinct keys of the chunks' parts, and the places of two for each
+    chunk: a word with punctuation after it is cut from that, any other chunk is
+    its own key, and its second place is past the end."""
+    heads = pc.utf8_rtrim(chunks, characters=PUNCTUATION)
+    sizes = pc.binary_length(chunks).to_numpy()
+    stops = np.cumsum(sizes)
+    starts = stops - sizes + pc.binary_length(heads).to_numpy()
+    lose = pc.utf8_is_alpha(heads).to_numpy(zero_copy_only=False) & (starts < stops)
+    while True:
+        coded = pc.if_else(pa.array(lose), heads, chunks).dictionary_encode()
+        # Arrow and Python may know the letters of different Unicode versions
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads_at = coded.indices.to_numpy()
+        bad = lose & ~np.fromiter(map(str.isalpha, keys), dtype=bool, count=len(keys))[heads_at]
+        if not bad.any():
+            break
+        lose &= ~bad
+    n = (stops - starts)[lose]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    data = np.frombuffer(chunks.buffers()[2] or b"", dtype=np.uint8)[
+        np.repeat(starts[lose] - ends[:-1], n) + np.arange(ends[-1])]
+    tails = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    tails = tails.dictionary_encode()
+    more = [" " + t.decode() for t in tails.dictionary.to_pylist()]
+    pairs = np.full((len(chunks), 2), len(keys) + len(more), dtype=np.int64)
+    pairs[:, 0] = heads_at
+    pairs[lose, 1] = len(keys) + tails.indices.to_numpy()
+    return keys + more, pairs
+
+
+def laid(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``ids`` one after the other, and where each begins,
+    with the end of the last."""
+    n = sizes[at]
+    done = np.concatenate([[0], np.cumsum(n)])
+    return ids[np.repeat(starts[at] - done[:-1], n) + np.arange(done[-1])], done
+
+
+def runs(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed ids as one array, with each run's start and length."""
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    return np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes, sizes
+
+
+def encode_texts(texts: list[str], known: Bounded, many, words=None) -> list[bytes]:
+    """Packed ids of each text.  Texts are split before single spaces, and
+    words from the punctuation after them, in Arrow; each distinct chunk is
+    looked up once.  Of what is not in ``known``, ``many`` gives packed ids for
+    a list of texts, and ``words``, if there is one, for a list of words of at
+    most SHORT letters, each with a space before it.  What chunks are put
     together from is kept, and of these chunks only very short ones, which
     recur."""
     whole = [crosses(t) for t in texts]
     parts = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()), " ")
     ends = parts.offsets.to_numpy()
     coded = parts.values.dictionary_encode()
+    del parts
     at = coded.indices.to_numpy().astype(np.int64)
-    chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    chunks, pairs = without_tails(coded.dictionary)
+    del coded
+    ids = chunk_ids(chunks, known, many, words or (lambda some: many([" " + w for w in some])))
+    del chunks
+    every, starts, sizes = runs([*ids, b""])
+    del ids
+    every, done = laid(every, starts, sizes, pairs.ravel())
+    starts, stops = done[:-1:2], done[2::2]
+    # a text's first chunk has no space before it; a text that must be split
+    # as a whole is one chunk
+    first, more, sizes = runs(many([t if w else t.split(" ", 1)[0] for t, w in zip(texts, whole)]))
+    at[ends[:-1]] = len(starts) + np.arange(len(texts))
+    out, done = laid(np.concatenate([every, first]), np.concatenate([starts, len(every) + more]),
+                     np.concatenate([stops - starts, sizes]), at)
+    cuts = done[ends]
+    return [out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def chunk_ids(chunks: list[str], known: Bounded, many, words) -> list[bytes]:
+    """Packed ids of each of the chunks, which differ; keys as ``parts_of``
+    has them."""
     ids = list(map(known.get, chunks))
     lack = [i for i, x in enumerate(ids) if x is None]
     if lack:
-        plain = [i for i in lack if chunks[i].isalpha()]
-        others = list(set(lack).difference(plain))
-        keys = [parts_of(chunks[i]) for i in others]
-        wanted = {chunks[i] for i in plain}.union(*keys)
-        new = {k: known[k] for k in wanted & known.keys()}
-        basic = list(wanted.difference(new))
-        new.update(zip(basic, many([k[1:] if k[:1] == " " else " " + k for k in basic])))
-        for i in plain:
-            ids[i] = new[chunks[i]]
-        for i, of in zip(others, keys):
+        plain = [i for i in lack if chunks[i].isalpha() and len(chunks[i]) <= SHORT]
+        basic = [chunks[i] for i in plain]
+        found = words(basic)
+        for i, x in zip(plain, found):
+            ids[i] = x
+        new = dict(zip(basic, found))
+        others = [(i, parts_of(chunks[i])) for i in lack if ids[i] is None]
+        wanted = {k for _, of in others for k in of if k not in new}
+        for k in wanted:
+            x = known.get(k)
+            if x is not None:
+                new[k] = x
+        wanted.difference_update(new)
+        more = [k for k in wanted if k.isalpha() and len(k) <= SHORT]
+        new.update(zip(more, words(more)))
+        rest = list(wanted.difference(more))
+        new.update(zip(rest, many([k[1:] if k[:1] == " " else " " + k for k in rest])))
+        for i, of in others:
             ids[i] = b"".join([new[k] for k in of])
-        more = {k: new[k] for k in basic if len(k) <= SHORT}
-        more.update((chunks[i], ids[i]) for i in lack if len(chunks[i]) <= FEW)
-        if len(known) + len(more) > known.most:
+        keep = ((k, x) for k, x in new.items() if len(k) <= SHORT)
+        more = [(chunks[i], ids[i]) for i, _ in others if len(chunks[i]) <= FEW]
+        if len(known) + len(new) + len(more) > known.most:
             # full: it starts afresh, with what these texts have
             known.clear()
-            more.update((c, x) for c, x in zip(chunks, ids) if len(c) <= FEW or len(c) <= SHORT and c.isalpha())
-            more.update((k, x) for k, x in new.items() if len(k) <= SHORT)
-        known.update(islice(more.items(), known.most))
-        del keys, wanted, new, basic, more  # before the texts are put together
-    # a text's first chunk has no space before it; a text that must be split
-    # as a whole is one chunk
-    at[ends[:-1]] = len(ids) + np.arange(len(texts))
-    ids += many([t if w else t.split(" ", 1)[0] for t, w in zip(texts, whole)])
-    every = np.frombuffer(b"".join(ids), dtype="<u4")
-    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[at]
-    done = np.concatenate([[0], np.cumsum(n)])
-    out = every[np.repeat(starts[at] - done[:-1], n) + np.arange(done[-1])]
-    cuts = done[ends]
-    return [out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+            more = ((c, x) for c, x in zip(chunks, ids) if len(c) <= FEW or len(c) <= SHORT and c.isalpha())
+        known.update(islice(chain(keep, more), known.most - len(known)))
+    return ids
 
 
 def grouped(stream: Iterator[tuple], most: int = 4 << 20, count: int = 4096) -> Iterator[list[tuple]]:

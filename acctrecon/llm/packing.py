@@ -62,24 +62,34 @@ class ChunkTokenizer:
         breaks = tuple(self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in " \n")
         self.spaced[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith(breaks)]] = True
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word with a space before it."""
+        return self._rows([" " + w for w in words])
+
+    def _rows(self, words: list[str]) -> list[bytes]:
+        """Packed ids of words of letters with a space or a line break before
+        them.  They go through in rows: a piece begins with the space, or is
+        the line break, so just the first token of each begins with it."""
+        rows = [words[k:k + ROW] for k in range(0, len(words), ROW)]
+        out: list[bytes] = []
+        for row, e in zip(rows, self._encoded(["".join(row) for row in rows])):
+            ids = np.array(e, dtype="<u4")
+            starts = np.flatnonzero(self.spaced[ids]) * 4
+            if len(starts) != len(row):
+                raise ValueError("a row of words has other pieces than words")
+            data, starts = ids.tobytes(), starts.tolist()
+            out += [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
+        return out
+
     def _ids(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text.  Words of letters with a space or a line
-        break before them go through in rows: a piece begins with the space,
-        or is the line break, so just the first token of each begins with it."""
+        """Packed ids of each text."""
         words = [i for i, t in enumerate(texts) if t[:1] in (" ", "\n") and t[1:].isalpha() and len(t) <= SHORT]
         others = sorted(set(range(len(texts))).difference(words))
         out: list[bytes] = [b""] * len(texts)
         for i, e in zip(others, self._encoded([texts[i] for i in others])):
             out[i] = packed(e)
-        rows = [words[k:k + ROW] for k in range(0, len(words), ROW)]
-        for row, e in zip(rows, self._encoded(["".join([texts[i] for i in row]) for row in rows])):
-            ids = np.array(e, dtype="<u4")
-            starts = np.flatnonzero(self.spaced[ids])
-            if len(starts) != len(row):
-                raise ValueError("a row of words has other pieces than words")
-            data, ends = ids.tobytes(), [*(starts[1:] * 4).tolist(), len(ids) * 4]
-            for i, a, b in zip(row, (starts * 4).tolist(), ends):
-                out[i] = data[a:b]
+        for i, x in zip(words, self._rows([texts[i] for i in words])):
+            out[i] = x
         return out
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
@@ -89,14 +99,15 @@ class ChunkTokenizer:
         """Packed ids of each text."""
         whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
         if not whole:
-            return encode_texts(texts, self.known, self._ids)
+            return encode_texts(texts, self.known, self._ids, self._words)
         # an added token can take in what is next to it, so no cut is safe
         self.tokenizer.encode_special_tokens = False
         try:
             found = dict(zip(whole, map(packed, self._encoded([texts[i] for i in whole]))))
         finally:
             self.tokenizer.encode_special_tokens = True
-        others = iter(encode_texts([t for i, t in enumerate(texts) if i not in found], self.known, self._ids))
+        others = iter(encode_texts([t for i, t in enumerate(texts) if i not in found], self.known, self._ids,
+                                   self._words))
         return [found[i] if i in found else next(others) for i in range(len(texts))]
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -732,3 +733,20 @@ def test_words_at_line_ends_are_put_together(spark):
     assert len([t for t in asked if t != "a"]) < 60 and known.keys() >= set(names) - {"x"}
     tokenizer = packing.ChunkTokenizer(TOKENIZER, 60)
     assert tokenizer.encode(texts) == tokenizer.encode(texts) == many(texts)
+
+
+def test_words_lose_their_punctuation_in_arrow():
+    r = random.Random(14)
+    bits = ["a", "Öl", "the", "日本", "文", "é", "1", "\n", "\t", "'s", ".", ",", "***", "。", "\x00", "🙂", "ª", "ʼ", "-", "ა"]
+    chunks = sorted({"".join(r.choices(bits, k=r.randint(0, 4))) for _ in range(3000)})
+    for some in (chunks, [], [""], ["***"], ["word"]):
+        keys, pairs = bpe.without_tails(pa.array(some, pa.large_string()))
+        parts = [tuple(keys[k] for k in pair if k < len(keys)) for pair in pairs.tolist()]
+        words = [c.rstrip(bpe.PUNCTUATION) for c in some]
+        assert parts == [(w, " " + c[len(w):]) if w.isalpha() and w != c else (c,) for c, w in zip(some, words)]
+        assert len(set(keys)) == len(keys)
+    lib, tokenizer = Tokenizer.from_file(TOKENIZER), packing.ChunkTokenizer(TOKENIZER, 100)
+    lib.encode_special_tokens = True
+    for _ in range(3):
+        texts = [" ".join(r.choices(chunks, k=r.randint(0, 40))) for _ in range(200)]
+        assert tokenizer.encode(texts) == [bpe.packed(lib.encode(t, add_special_tokens=False).ids) for t in texts]
