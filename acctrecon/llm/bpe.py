@@ -141,6 +141,8 @@ def encode_texts(texts: list[str], known: Bounded, many, words=None) -> list[byt
     at = coded.indices.to_numpy().astype(np.int64)
     chunks, pairs = without_tails(coded.dictionary)
     del coded
+    # what splitting took is given back before the chunks are worked on
+    pa.default_memory_pool().release_unused()
     ids = chunk_ids(chunks, known, many, words or (lambda some: many([" " + w for w in some])))
     del chunks
     every, starts, sizes = runs([*ids, b""])
@@ -232,8 +234,8 @@ class PrefixEncoder:
         self.ranks = ranks
         self.spelling = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
+        self.size = {i: len(t) for t, i in ranks.items()}
         self.fits = Bounded(self._fits)
-        self.prefix = Bounded(self._last)
         self.piece = Bounded(self._piece, CACHE // 4)
         self.chunk = Bounded(None)
         self.split = pattern().findall
@@ -252,8 +254,10 @@ class PrefixEncoder:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
-        return self._merged(self.spelling[pair[0]] + self.spelling[pair[1]]) == list(pair)
+    def _fits(self, pair: int) -> bool:
+        """Whether two tokens, numbered as one, stay as they are."""
+        left, right = pair >> 32, pair & 0xFFFFFFFF
+        return self._merged(self.spelling[left] + self.spelling[right]) == [left, right]
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """``last`` holds the last token of each prefix of ``data`` that has
@@ -262,41 +266,43 @@ class PrefixEncoder:
         for end in range(len(last), len(data) + 1):
             for start in range(end - 1, max(-1, end - longest - 1), -1):
                 token = rank(data[start:end])
-                if token is not None and (not start or fits[last[start], token]):
+                if token is not None and (not start or fits[last[start] << 32 | token]):
                     last.append(token)
                     break
             else:
                 raise ValueError("a byte has no token")
         return last
 
-    def _last(self, prefix: bytes) -> int:
-        """The last token of a short prefix; shorter ones come from the table."""
-        rank, fits, known = self.ranks.get, self.fits, self.prefix
-        for start in range(len(prefix) - 1, 0, -1):
-            token = rank(prefix[start:])
-            if token is not None and fits[known[prefix[:start]], token]:
-                return token
-        return self.ranks[prefix]
-
     def read(self, data: bytes, last: list[int]) -> list[int]:
-        out, end = [], len(data)
+        out, end, size = [], len(data), self.size
         while end:
-            out.append(last[end])
-            end -= len(self.spelling[last[end]])
+            token = last[end]
+            out.append(token)
+            end -= size[token]
         return out[::-1]
 
     def encode_piece(self, data: bytes) -> list[int]:
         token = self.ranks.get(data)
-        if token is not None:
-            return [token]
-        if len(data) > SHORT:
-            return self.read(data, self.extend(data, [-1]))
-        out, known, spelling = [], self.prefix, self.spelling
-        while data:
-            token = known[data]
-            out.append(token)
-            data = data[:-len(spelling[token])]
-        out.reverse()
+        return [token] if token is not None else self.read(data, self.extend(data, [-1]))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word with a space before it, a piece.  Taken in
+        order, a word has a prefix in common with the one before it, whose last
+        tokens hold for it too."""
+        pieces = [b" " + w.encode() for w in words]
+        out, before, last = [b""] * len(pieces), b"", [-1]
+        for i in sorted(range(len(pieces)), key=pieces.__getitem__):
+            data = pieces[i]
+            token = self.ranks.get(data)
+            if token is not None:
+                out[i] = packed([token])
+                continue
+            same = min(len(before), len(data))
+            while data[:same] != before[:same]:
+                same -= 1
+            del last[same + 1:]
+            out[i] = packed(self.read(data, self.extend(data, last)))
+            before = data
         return out
 
     def _piece(self, piece: str) -> bytes:
@@ -308,8 +314,7 @@ class PrefixEncoder:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        return encode_texts(texts, self.chunk, lambda many: [
-            self._piece(t) if t[:1] == " " and t[1:].isalpha() else self._pieces(t) for t in many])
+        return encode_texts(texts, self.chunk, lambda many: list(map(self._pieces, many)), self._words)
 
     def encode(self, text: str) -> bytes:
         """The ids of one text as little-endian unsigned 32-bit integers."""

@@ -750,3 +750,17 @@ def test_words_lose_their_punctuation_in_arrow():
     for _ in range(3):
         texts = [" ".join(r.choices(chunks, k=r.randint(0, 40))) for _ in range(200)]
         assert tokenizer.encode(texts) == [bpe.packed(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_bpe_keeps_no_prefixes_of_words():
+    """A worker's caches hold words and token pairs; words that are encoded
+    together share their prefixes without a table."""
+    lib, enc, r = library(), bpe.PrefixEncoder(bpe.read_ranks(RANKS)), random.Random(15)
+    words = sorted({"".join(r.choices(["en", "tion", "qu", "é", "ssh", "x"], k=r.randint(3, 9))) for _ in range(4000)})
+    worked, extend = [], enc.extend
+    enc.extend = lambda data, last: worked.append(len(data) + 1 - len(last)) or extend(data, last)
+    text = "first " + " ".join(words)
+    assert np.frombuffer(enc.encode_many([text])[0], "<u4").tolist() == lib.encode_ordinary(text)
+    kept = sum(len(x) for x in vars(enc).values() if isinstance(x, bpe.Bounded) and x is not enc.fits)
+    assert kept <= len(words) + 5
+    assert sum(worked) < 0.7 * sum(len(w.encode()) + 1 for w in words)
